@@ -31,7 +31,8 @@ def log_target(c: str | Column) -> Column:
 
 def invert_log_target(c: str | Column) -> Column:
     """Undo :func:`log_target` after lifting negative log values to zero."""
-    return F.expm1(F.greatest(_col(c), F.lit(0.0)))
+    x = _col(c)
+    return F.expm1(F.when(x < 0, F.lit(0.0)).otherwise(x))
 
 
 def half_even(c: str | Column) -> Column:

@@ -26,7 +26,8 @@ class Bins:
     def index(self, x: Column) -> Column:
         """Bin number; the largest value belongs to the last bin."""
         place = F.floor((x - F.lit(self.low)) / F.lit(self.width))
-        return F.least(place, F.lit(self.count - 1)).cast("bigint")
+        # least() passes over NULL, so a missing value is kept out explicitly.
+        return F.when(x.isNotNull(), F.least(place, F.lit(self.count - 1))).cast("bigint")
 
 
 def plan_bins(df: DataFrame, columns: Sequence[str], nbins: int) -> dict[str, Bins]:
