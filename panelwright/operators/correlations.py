@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.functions.columns import correlation
+from panelwright.operators.ordering import running_totals
 from panelwright.operators.profile import numeric_columns
-from panelwright.operators.quantiles import value_positions
 from panelwright.storage import BROADCAST_ROWS, materialize, sized
 
 
@@ -18,49 +17,110 @@ def _pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
 
 
-def _long(df: DataFrame, pairs: Sequence[tuple[str, str]], names: dict[str, str] | None = None) -> DataFrame:
-    names = names or {}
-    wide = df.agg(*[correlation(names.get(a, a), names.get(b, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        ways = [(a, b)] if a == b else [(a, b), (b, a)]
-        rows += [F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"r{i}").alias("r")) for x, y in ways]
-    return wide.select(F.inline(F.array(*rows)))
+@dataclass(frozen=True)
+class _Set:
+    """Pairs that share a presence condition: on its rows every column of the pairs has a value."""
+
+    columns: dict[str, str]
+    pairs: list[tuple[str, str]]
+
+
+def _long(df: DataFrame, sets: Sequence[_Set]) -> DataFrame:
+    """Correlations of all pairs of all sets in one pass.
+
+    ``df`` holds the values less a number near their mean, so that plain sums keep their precision. Sums shared by
+    many pairs are taken once. A constant column, told by its minimum and maximum, gives NULL.
+    """
+    # Written as SQL text: one expression is one call to the driver's JVM, and there are many pairs.
+    facts, cells = [], []
+    for i, s in enumerate(sets):
+        facts.append(f"cast(count({next(iter(s.columns.values()))}) as double) AS n{i}")
+        for c, x in s.columns.items():
+            facts += [f"sum({x}) AS s{i}_{c}", f"sum({x} * {x}) AS p{i}_{c}_{c}", f"min({x}) < max({x}) AS v{i}_{c}"]
+        facts += [f"sum({s.columns[a]} * {s.columns[b]}) AS p{i}_{a}_{b}" for a, b in s.pairs if a != b]
+        for a, b in s.pairs:
+            both = f"(p{i}_{a}_{b} - s{i}_{a} * s{i}_{b} / n{i})"
+            spread = " * ".join(f"(p{i}_{c}_{c} - s{i}_{c} * s{i}_{c} / n{i})" for c in (a, b))
+            r = f"CASE WHEN v{i}_{a} AND v{i}_{b} THEN try_divide({both}, sqrt({spread})) END"
+            cells += [f"struct('{x}' AS a, '{y}' AS b, {r} AS r)" for x, y in dict.fromkeys([(a, b), (b, a)])]
+    return df.selectExpr(*facts).selectExpr(f"inline(array({', '.join(cells)}))")
+
+
+@dataclass(frozen=True)
+class _Presence:
+    """Which columns miss values, their means, and the presence condition of every pair."""
+
+    means: dict[str, float]
+    conditions: dict[tuple[str, ...], list[tuple[str, str]]]
+
+    @classmethod
+    def of(cls, df: DataFrame, columns: Sequence[str]) -> _Presence:
+        facts = [f"count_if({c} IS NULL) AS {c}_missing" for c in columns] + [f"avg({c}) AS {c}_mean" for c in columns]
+        row = df.selectExpr(*facts).first()
+        conditions: dict[tuple[str, ...], list[tuple[str, str]]] = {}
+        for pair in _pairs(columns):
+            needed = tuple(sorted({c for c in pair if row[f"{c}_missing"]}))
+            conditions.setdefault(needed, []).append(pair)
+        return cls({c: row[f"{c}_mean"] or 0.0 for c in columns}, conditions)
+
+    def holds(self) -> list[str]:
+        return [" AND ".join(f"{c} IS NOT NULL" for c in needed) or "true" for needed in self.conditions]
+
+    def sets(self) -> list[_Set]:
+        found = []
+        for i, pairs in enumerate(self.conditions.values()):
+            used = dict.fromkeys(c for pair in pairs for c in pair)
+            found.append(_Set({c: f"_{i}_{c}" for c in used}, pairs))
+        return found
+
+
+def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.selectExpr(*[f"nullif(cast({c} as double), double('NaN')) AS {c}" for c in columns])
 
 
 def pearson(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of all column pairs over the rows where both are present, in one pass."""
-    return _long(df, _pairs(list(columns or numeric_columns(df))))
+    """Pearson correlation of all column pairs, each over the rows where both are present."""
+    columns = list(columns or numeric_columns(df))
+    clean = _numbers(df, columns)
+    presence = _Presence.of(clean, columns)
+    centred = [
+        f"CASE WHEN {hold} THEN {c} - {presence.means[c]!r}D END AS {x}"
+        for hold, s in zip(presence.holds(), presence.sets(), strict=True)
+        for c, x in s.columns.items()
+    ]
+    return _long(clean.selectExpr(*centred), presence.sets())
 
 
 def spearman(df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
     """Rank correlation of all column pairs; ties share their mean rank.
 
-    A pair is ranked over the rows where both columns are present. Which columns miss values is counted first; all
-    pairs with the same presence condition share one ranking.
+    A pair is ranked over the rows where both columns are present. Pairs with the same presence condition share a
+    ranking, and one ordering of the distinct values serves all rankings.
     """
     columns = list(columns)
-    clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns])
-    lacking = clean.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first().asDict()
-    conditions: dict[tuple[str, ...], list[tuple[str, str]]] = {}
-    for a, b in _pairs(columns):
-        conditions.setdefault(tuple(sorted({c for c in (a, b) if lacking[c]})), []).append((a, b))
-    results = []
-    for needed, pairs in conditions.items():
-        used = list(dict.fromkeys(c for pair in pairs for c in pair))
-        rows = clean.dropna(subset=list(needed)).select(*used) if needed else clean.select(*used)
-        results.append(_long(_with_ranks(rows, used, limit), pairs, {c: f"_rank_{c}" for c in used}))
-    return reduce(DataFrame.unionByName, results)
-
-
-def _with_ranks(rows: DataFrame, columns: Sequence[str], limit: int) -> DataFrame:
-    """Replace each column by its mean rank, from one ordering of the distinct values of all columns."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
-    positions = value_positions(rows.select(F.inline(F.array(*cells))), ["column"], "value")
-    mean_rank = F.col("upto") - F.col("n") + (F.col("n") + 1) / 2
-    ranks = materialize(positions.select("column", "value", mean_rank.alias("rank")), "ranks", partition_by="column")
+    clean = materialize(_numbers(df, columns), "columns")
+    presence = _Presence.of(clean, columns)
+    holds = dict(enumerate(presence.holds()))
+    cells = ", ".join(f"struct('{c}' AS column, {c} AS value)" for c in columns)
+    values = clean.selectExpr(*[f"{h} AS holds{i}" for i, h in holds.items()], f"inline(array({cells}))")
+    counts = values.where("value IS NOT NULL").groupBy("column", "value")
+    counts = counts.agg(*[F.expr(f"count_if(holds{i}) AS n{i}") for i in holds])
+    running = running_totals(counts, ["column", "value"], {f"upto{i}": f"n{i}" for i in holds})
+    starts = running.groupBy("column").agg(
+        *[F.expr(f"min(upto{i} - n{i}) AS start{i}") for i in holds], *[F.expr(f"sum(n{i}) AS all{i}") for i in holds]
+    )
+    placed = running.join(F.broadcast(starts), "column")  # starts: one row per column of the matrix
+    # Less the middle rank of the column, which keeps the sums of products small.
+    centred = [f"upto{i} - start{i} - (n{i} - 1) / 2 - (all{i} + 1) / 2 AS rank{i}" for i in holds]
+    ranks = materialize(placed.selectExpr("column", "value", *centred), "ranks", partition_by="column")
     sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
+    ranked = clean
     for c in columns:
-        side = ranks.where(F.col("column") == c).select(F.col("value").alias(c), F.col("rank").alias(f"_rank_{c}"))
-        rows = rows.join(sized(side, sizes.get(c, 0), limit), c, "left")
-    return rows.select(*[f"_rank_{c}" for c in columns])
+        side = ranks.where(F.col("column") == c).selectExpr(f"value AS {c}", *[f"rank{i} AS rank{i}_{c}" for i in holds])
+        ranked = ranked.join(sized(side, sizes.get(c, 0), limit), c, "left")
+    kept = [
+        f"CASE WHEN {holds[i]} THEN rank{i}_{c} END AS {x}"
+        for i, s in enumerate(presence.sets())
+        for c, x in s.columns.items()
+    ]
+    return _long(ranked.selectExpr(*kept), presence.sets())

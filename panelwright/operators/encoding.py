@@ -32,7 +32,7 @@ def category_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ]
     )
     distinct = df.select(F.inline(entries)).where(F.col("value").isNotNull()).distinct()
-    ranked = materialize(row_ranks(distinct, ["column", "number", "value"], "_rank"), "dictionary")
+    ranked = row_ranks(distinct, ["column", "number", "value"], "_rank")
     first = ranked.groupBy("column").agg(F.min("_rank").alias("_first"))  # one row per encoded column
     coded = ranked.join(F.broadcast(first), "column")
     return coded.select("column", "value", "number", (F.col("_rank") - F.col("_first")).alias("code"))

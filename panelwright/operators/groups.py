@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.functions.columns import ratio
 from panelwright.operators.quantiles import quantiles
 from panelwright.storage import BROADCAST_ROWS, materialize, sized
 
@@ -20,17 +19,14 @@ class Stat:
     how: str
     column: str
 
-    def expression(self) -> Column:
-        c = F.col(self.column)
-        if self.how == "mean":
-            return F.avg(c)
-        if self.how == "count":
-            return F.count(c)
-        if self.how == "sum":
-            return F.coalesce(F.sum(c), F.lit(0))
-        if self.how == "any":
-            return F.coalesce(F.bool_or(c != 0), F.lit(False))
-        raise ValueError(f"unknown statistic {self.how}")
+    def sql(self) -> str:
+        forms = {
+            "mean": "avg({c})",
+            "count": "count({c})",
+            "sum": "coalesce(sum({c}), 0)",
+            "any": "coalesce(bool_or({c} != 0), false)",
+        }
+        return forms[self.how].format(c=self.column)
 
 
 def add_group_stats(
@@ -52,7 +48,7 @@ def add_group_stats(
         sets = {keys: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys) for keys in simple}
         stored = materialize(
             df.groupingSets([list(keys) for keys in simple], *columns).agg(
-                F.grouping_id().alias("_set"), *[s.expression().alias(n) for s, n in names.items()]
+                F.grouping_id().alias("_set"), *[F.expr(f"{s.sql()} AS {n}") for s, n in names.items()]
             ),
             "group-stats",
             partition_by="_set",
@@ -60,7 +56,7 @@ def add_group_stats(
         sizes = {r["_set"]: r["count"] for r in stored.groupBy("_set").count().collect()}
         for keys, outs in simple.items():
             side = stored.where(F.col("_set") == sets[keys]).dropna(subset=list(keys))
-            side = side.select(*keys, *[F.col(names[s]).alias(o) for o, s in outs.items()])
+            side = side.selectExpr(*keys, *[f"{names[s]} AS {o}" for o, s in outs.items()])
             result = result.join(sized(side, sizes.get(sets[keys], 0), limit), list(keys), "left")
     for keys, outs in medians.items():
         for out, stat in outs.items():
@@ -111,4 +107,5 @@ def panel_features(
     flag_names = {f: "{}_" + f"{f}_mean" for f in flags}
     parts.append(mean_requests(categories, time, {**ratio_names, **flag_names}))
     wide = add_group_stats(df, merge_requests(*parts), limit)
-    return wide.withColumns({name.format(c): ratio(p, name.format(c)) for p, name in ratio_names.items() for c in categories})
+    ratios = {name.format(c): p for p, name in ratio_names.items() for c in categories}
+    return wide.selectExpr(*[f"try_divide(cast({ratios[n]} as double), {n}) AS {n}" if n in ratios else n for n in wide.columns])

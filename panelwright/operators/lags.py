@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from panelwright.operators.series import Frame, add_frames
 from panelwright.spec import PanelSpec
@@ -101,5 +100,5 @@ def add_lags(df: DataFrame, panel: PanelSpec, specs: Sequence[LagSpec], tstep: i
     if not frames:
         return df
     wide = add_frames(df, panel, frames, **pieces)
-    ages = {n: F.col(panel.time) - F.col(n) for n, f in frames.items() if f.column == panel.time}
-    return wide.withColumns(ages) if ages else wide
+    ages = {n for n, f in frames.items() if f.column == panel.time}
+    return wide.selectExpr(*[f"{panel.time} - {c} AS {c}" if c in ages else c for c in wide.columns])

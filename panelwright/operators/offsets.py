@@ -17,7 +17,7 @@ def series_offsets(df: DataFrame, spec: PanelSpec, train_time: int, test_time: i
         F.count_if(t <= test_time).alias("_known"),
         F.count(F.lit(1)).alias("_all"),
     )
-    placed = running_totals(sizes, spec.keys, {"_end": "_all", "_number": F.lit(1).cast("bigint")})
+    placed = running_totals(sizes, spec.keys, {"_end": "_all", "_number": "1L"})
     start = F.col("_end") - F.col("_all")
     return placed.select(
         *spec.keys,

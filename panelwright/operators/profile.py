@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,30 +21,25 @@ def string_columns(df: DataFrame) -> list[str]:
 
 def unpivot(df: DataFrame, columns: Sequence[str], as_type: str, keep: Sequence[str] = ()) -> DataFrame:
     """Long form (keep..., column, value)."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast(as_type).alias("value")) for c in columns]
-    return df.select(*keep, F.inline(F.array(*cells)))
+    cells = ", ".join(f"struct('{c}' AS column, cast({c} as {as_type}) AS value)" for c in columns)
+    return df.selectExpr(*keep, f"inline(array({cells}))")
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], facts: dict[str, callable]) -> DataFrame:
-    """Aggregate all columns in one pass and return one row per column; ``facts`` maps output to an aggregate of it."""
-    wide = df.agg(*[f(c).alias(f"{c}|{name}") for c in columns for name, f in facts.items()])
-    rows = [
-        F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}|{name}`").alias(name) for name in facts]) for c in columns
-    ]
-    return wide.select(F.inline(F.array(*rows)))
-
-
-def _number(c: str) -> Column:
-    x = F.col(c).cast("double")
-    return F.when(~F.isnan(x), x)
+def _per_column(df: DataFrame, columns: Sequence[str], facts: dict[str, str]) -> DataFrame:
+    """Aggregate all columns in one pass, one row per column; ``facts`` maps output to SQL with ``{c}`` for the column."""
+    wide = df.selectExpr(*[f"{f.format(c=c)} AS {name}_{c}" for c in columns for name, f in facts.items()])
+    rows = [f"struct('{c}' AS column, {', '.join(f'{name}_{c} AS {name}' for name in facts)})" for c in columns]
+    return wide.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample standard deviation, minimum, quartiles and maximum of each numeric column."""
     columns = list(columns or numeric_columns(df))
-    clean = df.select(*[_number(c).alias(c) for c in columns])
+    clean = df.selectExpr(*[f"nullif(cast({c} as double), double('NaN')) AS {c}" for c in columns])
     moments = _per_column(
-        clean, columns, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+        clean,
+        columns,
+        {"count": "count({c})", "mean": "avg({c})", "std": "stddev_samp({c})", "min": "min({c})", "max": "max({c})"},
     )
     quartiles = quantiles(
         unpivot(clean, columns, "double"), ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -71,15 +66,9 @@ def profile_quality(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     columns = list(columns or df.columns)
     numeric = set(numeric_columns(df))
     floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    clean = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in floating else F.col(c) for c in columns])
-    simple = _per_column(
-        clean,
-        columns,
-        {
-            "zero_count": lambda c: F.count_if(F.col(c) == 0) if c in numeric else F.count_if(F.lit(False)),
-            "missing_count": lambda c: F.count_if(F.col(c).isNull()),
-        },
-    )
+    clean = df.selectExpr(*[f"nullif({c}, double('NaN')) AS {c}" if c in floating else c for c in columns])
+    zeros = clean.selectExpr(*[f"{c} = 0 AS zero_{c}" if c in numeric else f"false AS zero_{c}" for c in columns], *columns)
+    simple = _per_column(zeros, columns, {"zero_count": "count_if(zero_{c})", "missing_count": "count_if({c} IS NULL)"})
     cells = unpivot(clean, columns, "string").where(F.col("value").isNotNull()).distinct()
     unique = cells.groupBy("column").agg(F.count(F.lit(1)).alias("unique_count"))
     joined = simple.join(F.broadcast(unique), "column", "left")  # one row per column
@@ -88,8 +77,10 @@ def profile_quality(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 def schema_report(df: DataFrame) -> DataFrame:
     """Position, name, non-null count and type of each column."""
-    types = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(df.schema)}
-    counts = _per_column(df, df.columns, {"non_null": F.count})
-    place = F.create_map(*[x for c, (i, t) in types.items() for x in (F.lit(c), F.struct(F.lit(i).alias("i"), F.lit(t).alias("t")))])
-    entry = place[F.col("column")]
-    return counts.select(entry["i"].cast("bigint").alias("position"), "column", "non_null", entry["t"].alias("type"))
+    counts = _per_column(df, df.columns, {"non_null": "count({c})"})
+    names = ", ".join(f"'{f.name}'" for f in df.schema)
+    types = ", ".join(f"'{f.dataType.simpleString()}'" for f in df.schema)
+    place = f"array_position(array({names}), column)"
+    return counts.selectExpr(
+        f"{place} - 1 AS position", "column", "non_null", f"element_at(array({types}), cast({place} as int)) AS type"
+    )

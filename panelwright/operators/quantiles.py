@@ -23,10 +23,11 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str) -> DataFra
     """
     present = df.select(*groups, value).dropna(subset=[*groups, value])
     counts = present.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
-    ordered = materialize(running_totals(counts, [*groups, value], {"_upto": "n"}), "positions")
+    ordered = running_totals(counts, [*groups, value], {"_upto": "n"})
     starts = ordered.groupBy(*groups).agg(
         F.min(F.col("_upto") - F.col("n")).alias("_start"), F.sum("n").alias("group_rows")
     )
+    starts = materialize(starts, "group-starts")  # one row per group
     joined = ordered.join(sized(starts, starts.count()), [*groups])
     return joined.select(*groups, value, "n", (F.col("_upto") - F.col("_start")).alias("upto"), "group_rows")
 

@@ -114,16 +114,20 @@ class Frame:
     window: int = 1
     full: bool = False
 
-    def over(self, w) -> Column:
-        value = F.col(self.column)
+    def sql(self, window: str) -> str:
+        """The mean as SQL over a window given as ``PARTITION BY ... ORDER BY ...``."""
         if self.window == 1:
-            moved = F.lag(value, -self.step) if self.step < 0 else F.lead(value, self.step)
-            return moved.over(w).cast("double")
-        if self.step > 0:
-            value = F.when(F.col(_ROW) > self.step, value)
-        rows = w.rowsBetween(self.step - self.window + 1, self.step)
-        mean = F.avg(value).over(rows)
-        return F.when(F.count(value).over(rows) == self.window, mean) if self.full else mean
+            moved = f"lag({self.column}, {-self.step})" if self.step < 0 else f"lead({self.column}, {self.step})"
+            return f"cast({moved} OVER ({window}) AS double)"
+        value = f"CASE WHEN {_ROW} > {self.step} THEN {self.column} END" if self.step > 0 else self.column
+        ends = [_row_bound(self.step - self.window + 1), _row_bound(self.step)]
+        over = f"OVER ({window} ROWS BETWEEN {ends[0]} AND {ends[1]})"
+        mean = f"avg({value}) {over}"
+        return f"CASE WHEN count({value}) {over} = {self.window} THEN {mean} END" if self.full else mean
+
+
+def _row_bound(offset: int) -> str:
+    return "CURRENT ROW" if offset == 0 else f"{abs(offset)} {'PRECEDING' if offset < 0 else 'FOLLOWING'}"
 
 
 def add_frames(
@@ -134,16 +138,16 @@ def add_frames(
     needs_row = not bounded or any(f.step > 0 and f.window > 1 for f in frames.values())
     numbered = row_numbers(df, spec, _ROW, piece_periods) if needs_row else df
     if bounded:
-        w = Window.partitionBy(*spec.keys).orderBy(spec.time, spec.id)
-        return numbered.withColumns({out: f.over(w) for out, f in frames.items()}).select(*df.columns, *frames)
+        w = f"PARTITION BY {', '.join(spec.keys)} ORDER BY {spec.time}, {spec.id}"
+        return numbered.selectExpr(*df.columns, *[f"{f.sql(w)} AS {out}" for out, f in frames.items()])
     back = max(max(f.window - 1 - f.step, 0) for f in frames.values())
     ahead = max(max(f.step, 0) for f in frames.values())
     home = F.floor((F.col(_ROW) - 1) / block_rows)
     first = F.floor(F.greatest(F.col(_ROW) - 1 - ahead, F.lit(0)) / block_rows)
     last = F.floor((F.col(_ROW) - 1 + back) / block_rows)
     blocks = numbered.withColumn("_home", home).withColumn(_BLOCK, F.explode(F.sequence(first, last)))
-    w = Window.partitionBy(*spec.keys, _BLOCK).orderBy(_ROW)
-    wide = blocks.withColumns({out: f.over(w) for out, f in frames.items()})
+    w = f"PARTITION BY {', '.join((*spec.keys, _BLOCK))} ORDER BY {_ROW}"
+    wide = blocks.selectExpr("*", *[f"{f.sql(w)} AS {out}" for out, f in frames.items()])
     return wide.where(F.col(_BLOCK) == F.col("_home")).select(*df.columns, *frames)
 
 

@@ -80,9 +80,9 @@ def assemble(rows: DataFrame, features: Sequence[str], categories: dict[str, int
     for f, name in names.items():
         if f in categories:
             nominal = {"ml_attr": {"type": "nominal", "name": f, "num_vals": categories[f] + 1}}
-            inputs[name] = (F.coalesce(F.col(f), F.lit(-1)) + 1).cast("double").alias(name, metadata=nominal)
+            inputs[name] = F.expr(f"cast(coalesce({f}, -1) + 1 as double)").alias(name, metadata=nominal)
         else:
-            inputs[name] = F.coalesce(F.col(f).cast("double"), F.lit(MISSING)).alias(name)
+            inputs[name] = F.expr(f"coalesce(cast({f} as double), {MISSING}D) AS {name}")
     wide = rows.select("*", *inputs.values())
     return VectorAssembler(inputCols=list(names.values()), outputCol=out).transform(wide).drop(*names.values())
 
