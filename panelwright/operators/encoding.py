@@ -12,8 +12,12 @@ from panelwright.operators.ordering import row_ranks
 from panelwright.storage import BROADCAST_ROWS, materialize, sized
 
 
-def _is_number(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.NumericType)
+def _entry(df: DataFrame, column: str) -> str:
+    """One dictionary entry as SQL. -0.0 becomes 0.0 and NaN counts as missing."""
+    kind = df.schema[column].dataType
+    clean = f"nullif({column} + 0.0D, double('NaN'))" if isinstance(kind, (T.DoubleType, T.FloatType)) else column
+    number = f"cast({clean} as double)" if isinstance(kind, T.NumericType) else "cast(NULL as double)"
+    return f"struct('{column}' AS column, {number} AS number, cast({clean} as string) AS value)"
 
 
 def category_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -21,17 +25,8 @@ def category_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Numbers sort as numbers, everything else as text; ``number`` is NULL for text. Missing values get no code.
     """
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                (F.col(c).cast("double") if _is_number(df, c) else F.lit(None).cast("double")).alias("number"),
-                F.col(c).cast("string").alias("value"),
-            )
-            for c in columns
-        ]
-    )
-    distinct = df.select(F.inline(entries)).where(F.col("value").isNotNull()).distinct()
+    entries = ", ".join(_entry(df, c) for c in columns)
+    distinct = df.selectExpr(f"inline(array({entries}))").where(F.col("value").isNotNull()).distinct()
     ranked = row_ranks(distinct, ["column", "number", "value"], "_rank")
     first = ranked.groupBy("column").agg(F.min("_rank").alias("_first"))  # one row per encoded column
     coded = ranked.join(F.broadcast(first), "column")

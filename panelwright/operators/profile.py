@@ -66,7 +66,8 @@ def profile_quality(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     columns = list(columns or df.columns)
     numeric = set(numeric_columns(df))
     floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    clean = df.selectExpr(*[f"nullif({c}, double('NaN')) AS {c}" if c in floating else c for c in columns])
+    # Adding zero turns -0.0 into 0.0, which would differ as text.
+    clean = df.selectExpr(*[f"nullif({c} + 0.0D, double('NaN')) AS {c}" if c in floating else c for c in columns])
     zeros = clean.selectExpr(*[f"{c} = 0 AS zero_{c}" if c in numeric else f"false AS zero_{c}" for c in columns], *columns)
     simple = _per_column(zeros, columns, {"zero_count": "count_if(zero_{c})", "missing_count": "count_if({c} IS NULL)"})
     cells = unpivot(clean, columns, "string").where(F.col("value").isNotNull()).distinct()
