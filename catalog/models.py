@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,7 +130,7 @@ def compare_lags(spark, sf_dir) -> DataFrame:
 
 
 def _forecasts(spark, sf_dir, root: str | None = None) -> tuple[validation.Problem, DataFrame]:
-    p = forecast.lag_problem(problem(spark, sf_dir), SPEC, SPECS)
+    p = forecast.lag_problem(problem(spark, sf_dir, engineered=False), SPEC, SPECS)
     banks = forecast.fit_horizons(p, SPECS, START, root)
     return p, materialize(forecast.forecast_horizons(p, SPEC, banks), "forecasts")
 
@@ -194,7 +192,7 @@ def model_roundtrip(spark, sf_dir) -> DataFrame:
     p = problem(spark, sf_dir, QUICK, engineered=False)
     fitted = models.fit_trees(time_slice(p.rows, SPEC.time, upto=BOUNDS.test_time), START, p.target, p.categories, p.params)
     path = models.model_path(new_path(spark, "models"), "final", None, forecast.POINT)
-    fitted.save(path)
+    fitted.save(spark, path)
     future = time_slice(p.rows, SPEC.time, BOUNDS.test_time)
     both = models.Fitted.load(spark, path).predict(fitted.predict(future, "before"), "after")
     return both.agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("after") - F.col("before"))).alias("largest_change"))

@@ -42,17 +42,16 @@ def variance_score(actual: str = ACTUAL, forecast: str = FORECAST) -> Column:
 
 def r2_weighted(df: DataFrame, weight: str, by: Sequence[str] = ()) -> DataFrame:
     """R2 with weights, by group. The weighted mean is taken in a first pass, so that large targets keep precision."""
-    keys = list(by) or ["_all"]
-    rows = (df if by else df.withColumn("_all", F.lit(1))).select(
-        *keys, F.col(ACTUAL).cast("double").alias("_y"), F.col(FORECAST).cast("double").alias("_p"),
-        F.col(weight).cast("double").alias("_w"),
-    )
-    means = rows.groupBy(*keys).agg(ratio(F.sum(F.col("_y") * F.col("_w")), F.sum("_w")).alias("_mean"))
+    y, p = _pair(ACTUAL, FORECAST)
+    rows = df.select(*by, y.alias("_y"), p.alias("_p"), F.col(weight).cast("double").alias("_w"))
+    mean = ratio(F.sum(F.col("_y") * F.col("_w")), F.sum("_w")).alias("_mean")
+    if by:
+        rows = rows.join(rows.groupBy(*by).agg(mean), list(by))
+    else:
+        rows = rows.withColumn("_mean", F.lit(rows.agg(mean).first()["_mean"]))
     error, spread = F.col("_y") - F.col("_p"), F.col("_y") - F.col("_mean")
-    scored = rows.join(means, keys).groupBy(*keys).agg(
-        (1 - F.try_divide(F.avg(F.col("_w") * error * error), F.avg(F.col("_w") * spread * spread))).alias("r2_weighted")
-    )
-    return scored.select(*by, "r2_weighted")
+    weighted = F.try_divide(F.avg(F.col("_w") * error * error), F.avg(F.col("_w") * spread * spread))
+    return rows.groupBy(*by).agg((1 - weighted).alias("r2_weighted"))
 
 
 def score_sheet(df: DataFrame, by: Sequence[str]) -> DataFrame:

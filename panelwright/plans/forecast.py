@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions.columns import invert_log_target
@@ -31,10 +31,10 @@ class Bank:
     test: Fitted
     final: Fitted
 
-    def save(self, root: str) -> None:
+    def save(self, spark: SparkSession, root: str) -> None:
         horizon = None if self.spec is None else self.spec.horizon
-        self.test.save(model_path(root, "test", horizon, POINT))
-        self.final.save(model_path(root, "final", horizon, POINT))
+        self.test.save(spark, model_path(root, "test", horizon, POINT))
+        self.final.save(spark, model_path(root, "final", horizon, POINT))
 
 
 def fit_bank(problem: Problem, spec: LagSpec | None, features: Sequence[str]) -> Bank:
@@ -51,9 +51,11 @@ def fit_bank(problem: Problem, spec: LagSpec | None, features: Sequence[str]) ->
         train = time_slice(problem.rows, t, upto=upto)
         return fit_trees(train, features, problem.target, problem.categories, problem.params, rounds=rounds)
 
-    test = refit(b.train_time) if gap else checked
+    uptos = [b.train_time, b.test_time] if gap else [b.test_time]
+    *refitted, final = run_together([lambda u=u: refit(u) for u in uptos], len(uptos))
+    test = refitted[0] if refitted else checked
     test.scores = checked.scores
-    return Bank(spec, test, refit(b.test_time))
+    return Bank(spec, test, final)
 
 
 def lag_problem(problem: Problem, panel: PanelSpec, specs: Sequence[LagSpec]) -> Problem:
@@ -70,11 +72,11 @@ def fit_horizons(problem: Problem, specs: Sequence[LagSpec], features: Sequence[
     banks = run_together(tasks, problem.parallelism)
     if root is not None:
         for bank in banks:
-            bank.save(root)
+            bank.save(problem.rows.sparkSession, root)
     return banks
 
 
-def load_bank(spark, root: str, spec: LagSpec) -> Bank:
+def load_bank(spark: SparkSession, root: str, spec: LagSpec) -> Bank:
     load = lambda stage: Fitted.load(spark, model_path(root, stage, spec.horizon, POINT))
     return Bank(spec, load("test"), load("final"))
 

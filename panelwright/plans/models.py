@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -54,20 +54,16 @@ class Fitted:
     def importances(self) -> dict[str, float]:
         return dict(zip(self.features, (float(v) for v in self.model.featureImportances.toArray()), strict=True))
 
-    def save(self, path: str) -> None:
+    def save(self, spark: SparkSession, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         settings = {"features": self.features, "categories": self.categories, "scores": self.scores}
-        write_settings(rows_session(), settings, f"{path}/settings")
+        write_settings(spark, settings, f"{path}/settings")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Fitted:
         return cls(GBTRegressionModel.load(f"{path}/model"), **read_settings(spark, f"{path}/settings"))
 
 
-def rows_session() -> SparkSession:
-    return SparkSession.active()
-
-
 def model_path(root: str, stage: str, horizon: int | None, alpha: str) -> str:
     """Where the model of a stage, horizon and quantile is stored."""
     return f"{root}/stage={stage}/horizon={'all' if horizon is None else horizon}/alpha={alpha}"
@@ -109,7 +105,7 @@ def fit_trees(
         featuresCol="_features", labelCol=target, predictionCol="_prediction",
         maxIter=rounds or params.rounds, stepSize=params.learning_rate, maxDepth=params.depth, maxBins=params.max_bins,
         minInstancesPerNode=params.min_rows, seed=params.seed, validationTol=params.tolerance,
-        maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
+        maxMemoryInMB=1024, checkpointInterval=10,
     )
     rows = train.select(*dict.fromkeys([*features, target])).where(F.col(target).isNotNull())
     if validation is not None:
@@ -119,10 +115,10 @@ def fit_trees(
     return Fitted(learner.fit(assemble(rows, features, use)), features, use)
 
 
-def r2_of(fitted: Fitted, rows: DataFrame, target: str) -> float | None:
-    """R2 of the fitted model on the rows that have a target."""
-    scored = fitted.predict(rows.where(F.col(target).isNotNull()))
-    return scored.agg(r2(target, "forecast").alias("r2")).first()["r2"]
+def r2_by(fitted: Fitted, rows: DataFrame, target: str, part: str) -> dict[str, float | None]:
+    """R2 of the model for every value of the column ``part``, in one pass over the rows that have a target."""
+    scored = fitted.predict(rows.where(F.col(target).isNotNull() & F.col(part).isNotNull()))
+    return {r[part]: r["r2"] for r in scored.groupBy(part).agg(r2(target, "forecast").alias("r2")).collect()}
 
 
 def fit_poisson(train: DataFrame, features: Sequence[str], target: str) -> Any:
@@ -141,7 +137,3 @@ def fit_poisson(train: DataFrame, features: Sequence[str], target: str) -> Any:
 def predict_poisson(model: Any, rows: DataFrame, features: Sequence[str]) -> DataFrame:
     inputs = {f"_in_{f}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features}
     return model.transform(rows.withColumns(inputs)).drop(*inputs, "_raw", "_features")
-
-
-def settings_of(params: TreeParams) -> dict:
-    return asdict(params)

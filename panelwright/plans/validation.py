@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from panelwright.operators.rows import time_slice
 from panelwright.operators.scoring import ACTUAL, FORECAST, cv_score, cv_score_spread, variance_score
-from panelwright.operators.splits import Bounds, fold_starts
-from panelwright.plans.models import Fitted, TreeParams, fit_trees, r2_of
+from panelwright.operators.splits import Bounds, fold_starts, gap_roles
+from panelwright.plans.models import Fitted, TreeParams, fit_trees, r2_by
 
 
 def run_together(tasks: Sequence[Callable[[], Any]], parallelism: int) -> list[Any]:
@@ -52,11 +52,11 @@ class CvResult:
 
 def validate(problem: Problem, features: Sequence[str], gap: int = 0) -> Fitted:
     """Fit on the training part less a gap, stop early on the test part, and score both."""
-    b, t = problem.bounds, problem.time
-    train = time_slice(problem.rows, t, upto=b.train_time - gap)
-    test = time_slice(problem.rows, t, b.train_time, b.test_time)
+    roles = gap_roles(problem.rows, problem.time, problem.bounds, gap, out="_role")
+    train, test = (roles.where(F.col("_role") == r) for r in ("train", "test"))
     fitted = fit_trees(train, features, problem.target, problem.categories, problem.params, validation=test)
-    fitted.scores = {"train": r2_of(fitted, train, problem.target), "test": r2_of(fitted, test, problem.target)}
+    scores = r2_by(fitted, roles, problem.target, "_role")
+    fitted.scores = {role: scores.get(role) for role in ("train", "test")}
     return fitted
 
 

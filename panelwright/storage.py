@@ -19,10 +19,12 @@ def shared_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and context.getCheckpointDir() is None and not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if named is None and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="panelwright-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="panelwright-"))
+        context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
