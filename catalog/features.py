@@ -10,7 +10,6 @@ from panelwright.operators import encoding, groups, lags, offsets, series
 from panelwright.operators.rows import with_log_target
 from panelwright.operators.series import Frame
 from panelwright.sources import fixture
-from panelwright.storage import materialize
 
 SPEC, BOUNDS = fixture.SPEC, fixture.BOUNDS
 KEYS = list(SPEC.keys)

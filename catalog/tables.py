@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.base import query
-from panelwright.functions.columns import lattice_index, lattice_value, on_lattice, series_label
+from panelwright.functions.columns import lattice_index, lattice_value, on_lattice
 from panelwright.operators import contracts, encoding, joins, profile, rows, scoring, splits
 from panelwright.operators.ordering import row_ranks
 from panelwright.sources import fixture, readers, writers
-from panelwright.storage import materialize, new_path
+from panelwright.storage import new_path
 
 SPEC, BOUNDS = fixture.SPEC, fixture.BOUNDS
 KEYS = list(SPEC.keys)

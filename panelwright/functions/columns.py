@@ -45,17 +45,6 @@ def ratio(numerator: str | Column, denominator: str | Column) -> Column:
     return F.try_divide(_col(numerator).cast("double"), _col(denominator).cast("double"))
 
 
-def correlation(a: str | Column, b: str | Column) -> Column:
-    """Pearson correlation over rows where both are present; NULL when either is constant.
-
-    ``corr`` itself raises on a constant column in ANSI mode.
-    """
-    x, y = _col(a).cast("double"), _col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    x, y = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def is_whole(c: str | Column) -> Column:
     """Whether a value is a whole number up to rounding noise (absolute 1e-8, relative 1e-5)."""
     x = _col(c).cast("double")

