@@ -149,12 +149,19 @@ def forecast_interval(spark, sf_dir) -> DataFrame:
     return writers.read_forecasts(spark, path, stage="final").select("stage", "alpha", "horizon", "id", "week", "forecast")
 
 
+def _with_intervals(spark, sf_dir) -> DataFrame:
+    """Point and quantile forecasts of both stages; each stage's intervals come from errors before it."""
+    p, found = _forecasts(spark, sf_dir)
+    before = forecast.earlier(p)
+    past = forecast.forecast_horizons(before, SPEC, forecast.fit_horizons(before, SPECS, START, future=False))
+    shifts = forecast.residual_quantiles(found, ALPHAS, "final").unionByName(forecast.residual_quantiles(past, ALPHAS, "test"))
+    return forecast.all_forecasts(found, forecast.interval_forecasts(found, shifts, SPEC))
+
+
 @query("forecast_scores")
 def forecast_scores(spark, sf_dir) -> DataFrame:
     """Score sheet of point and quantile forecasts for the back-test and the final stage, next to the series mean."""
-    _, found = _forecasts(spark, sf_dir)
-    moved = forecast.interval_forecasts(found, forecast.residual_quantiles(found, ALPHAS), SPEC)
-    everything = forecast.all_forecasts(found, moved).select("stage", "alpha", "id", "forecast")
+    everything = _with_intervals(spark, sf_dir).select("stage", "alpha", "id", "forecast")
     mean = _stage_baseline(spark, sf_dir).withColumn("alpha", F.lit("mean"))
     mean = mean.join(everything.select("id").distinct(), "id", "left_semi").select(*everything.columns)
     truth = fixture.panel(spark, sf_dir)
@@ -174,12 +181,10 @@ def _stage_baseline(spark, sf_dir) -> DataFrame:
 
 @query("forecast_compare")
 def forecast_compare(spark, sf_dir) -> DataFrame:
-    p, found = _forecasts(spark, sf_dir)
-    moved = forecast.interval_forecasts(found, forecast.residual_quantiles(found, ALPHAS), SPEC)
     # The stored frame carries encoded keys; forecasts are matched to the original ones by id.
     rows = fixture.with_future(spark, sf_dir)
     originals = rows.select(SPEC.id, *KEYS)
-    everything = forecast.all_forecasts(found, moved).drop(*KEYS).join(originals, SPEC.id)
+    everything = _with_intervals(spark, sf_dir).drop(*KEYS).join(originals, SPEC.id)
     chosen = samples.sample_series(rows, KEYS, 5, 1)
     return forecast.compare_forecasts(rows, everything, _stage_baseline(spark, sf_dir), chosen, SPEC,
                                       ["checkout_price", "emailer_for_promotion", "homepage_featured", "num_orders"], ALPHAS)

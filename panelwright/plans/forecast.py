@@ -14,6 +14,7 @@ from panelwright.operators.lags import LagSpec, add_lags, lag_frames
 from panelwright.operators.quantiles import quantiles
 from panelwright.operators.rows import time_slice
 from panelwright.operators.scoring import FORECAST
+from panelwright.operators.splits import Bounds
 from panelwright.plans.models import Fitted, fit_trees, model_path
 from panelwright.plans.validation import Problem, run_together, validate
 from panelwright.spec import PanelSpec
@@ -29,16 +30,23 @@ class Bank:
 
     spec: LagSpec | None
     test: Fitted
-    final: Fitted
+    final: Fitted | None
 
     def save(self, spark: SparkSession, root: str) -> None:
         horizon = None if self.spec is None else self.spec.horizon
         self.test.save(spark, model_path(root, "test", horizon, POINT))
-        self.final.save(spark, model_path(root, "final", horizon, POINT))
+        if self.final is not None:
+            self.final.save(spark, model_path(root, "final", horizon, POINT))
 
 
-def fit_bank(problem: Problem, spec: LagSpec | None, features: Sequence[str]) -> Bank:
-    """Find the number of rounds on the held-out part, then refit for the back-test and for the future.
+def earlier(problem: Problem) -> Problem:
+    """The same problem one forecast length earlier; its back-test lies before the one of the problem."""
+    b = problem.bounds
+    return replace(problem, bounds=Bounds(b.start, b.train_time - b.tstep, b.train_time, b.test_time))
+
+
+def fit_bank(problem: Problem, spec: LagSpec | None, features: Sequence[str], future: bool = True) -> Bank:
+    """Find the number of rounds on the held-out part, then refit for the back-test and, if asked, for the future.
 
     Refits see more periods than the validated model, so their rounds grow in the same proportion.
     """
@@ -51,11 +59,12 @@ def fit_bank(problem: Problem, spec: LagSpec | None, features: Sequence[str]) ->
         train = time_slice(problem.rows, t, upto=upto)
         return fit_trees(train, features, problem.target, problem.categories, problem.params, rounds=rounds)
 
-    uptos = [b.train_time, b.test_time] if gap else [b.test_time]
-    *refitted, final = run_together([lambda u=u: refit(u) for u in uptos], len(uptos))
-    test = refitted[0] if refitted else checked
+    wanted = {"test": b.train_time} if gap else {}
+    wanted |= {"final": b.test_time} if future else {}
+    refitted = dict(zip(wanted, run_together([lambda u=u: refit(u) for u in wanted.values()], len(wanted)), strict=True))
+    test = refitted.get("test", checked)
     test.scores = checked.scores
-    return Bank(spec, test, final)
+    return Bank(spec, test, refitted.get("final"))
 
 
 def lag_problem(problem: Problem, panel: PanelSpec, specs: Sequence[LagSpec]) -> Problem:
@@ -63,11 +72,13 @@ def lag_problem(problem: Problem, panel: PanelSpec, specs: Sequence[LagSpec]) ->
     return replace(problem, rows=materialize(add_lags(problem.rows, panel, specs, problem.bounds.tstep), "all-lags"))
 
 
-def fit_horizons(problem: Problem, specs: Sequence[LagSpec], features: Sequence[str], root: str | None = None) -> list[Bank]:
+def fit_horizons(
+    problem: Problem, specs: Sequence[LagSpec], features: Sequence[str], root: str | None = None, future: bool = True
+) -> list[Bank]:
     """Fit every horizon; ``problem`` holds all lag columns. Models are saved below ``root`` if given."""
     tstep = problem.bounds.tstep
     tasks = [
-        lambda s=s: fit_bank(replace(problem, parallelism=1), s, [*features, *lag_frames(s, tstep)]) for s in specs
+        lambda s=s: fit_bank(replace(problem, parallelism=1), s, [*features, *lag_frames(s, tstep)], future) for s in specs
     ]
     banks = run_together(tasks, problem.parallelism)
     if root is not None:
@@ -89,6 +100,8 @@ def forecast_horizons(problem: Problem, panel: PanelSpec, banks: Sequence[Bank])
     parts = []
     for bank in banks:
         for stage, fitted, back_test in (("test", bank.test, True), ("final", bank.final, False)):
+            if fitted is None:
+                continue
             ahead = problem.bounds.origin(back_test) + bank.spec.horizon
             rows = problem.rows.where(F.col(problem.time) == ahead)
             parts.append(
@@ -101,24 +114,28 @@ def forecast_horizons(problem: Problem, panel: PanelSpec, banks: Sequence[Bank])
     return reduce(DataFrame.unionByName, parts)
 
 
-def residual_quantiles(forecasts: DataFrame, alphas: Sequence[float]) -> DataFrame:
-    """Quantiles of the back-test errors by horizon, in log form: (horizon, alpha, shift)."""
+def residual_quantiles(forecasts: DataFrame, alphas: Sequence[float], stage: str = "final") -> DataFrame:
+    """Quantiles of the back-test errors by horizon, in log form, for use in one stage: (stage, horizon, alpha, shift).
+
+    Errors must lie before the stage they serve: the back-test serves the final stage, and the back-test of the
+    ``earlier`` problem serves the test stage.
+    """
     errors = forecasts.where((F.col("stage") == "test") & F.col("log_actual").isNotNull()).select(
         "horizon", (F.col("log_actual") - F.col(LOG_FORECAST)).alias("residual")
     )
     names = {f"a{i}": a for i, a in enumerate(alphas)}
     found = quantiles(errors, ["horizon"], "residual", names)
     cells = [F.struct(F.lit(str(a)).alias("alpha"), F.col(n).alias("shift")) for n, a in names.items()]
-    return found.select("horizon", F.inline(F.array(*cells)))
+    return found.select(F.lit(stage).alias("stage"), "horizon", F.inline(F.array(*cells)))
 
 
 def interval_forecasts(forecasts: DataFrame, shifts: DataFrame, panel: PanelSpec) -> DataFrame:
-    """Forecasts at every quantile: the point forecast moved by the error quantile of its horizon.
+    """Forecasts at every quantile: the point forecast moved by the error quantile of its stage and horizon.
 
-    The back-transform is increasing, so quantiles keep their order. The shift table has one row per horizon and
-    quantile.
+    The back-transform is increasing, so quantiles keep their order. The shift table has one row per stage, horizon
+    and quantile.
     """
-    moved = forecasts.join(F.broadcast(shifts), "horizon")
+    moved = forecasts.join(F.broadcast(shifts), ["stage", "horizon"])
     return moved.select(
         "stage", "horizon", "alpha", panel.id, *panel.keys, panel.time, "log_actual",
         invert_log_target(F.col(LOG_FORECAST) + F.col("shift")).alias(FORECAST),

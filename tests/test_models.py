@@ -128,7 +128,12 @@ def test_forecasts_intervals_and_saved_models(spark, planted):
     assert error < 0.6
 
     alphas = (0.05, 0.5, 0.95)
-    moved = forecast.interval_forecasts(found, forecast.residual_quantiles(found, alphas), PANEL)
+    before = forecast.earlier(p)
+    assert (before.bounds.train_time, before.bounds.test_time, before.bounds.end, before.bounds.tstep) == (10, 20, 30, 10)
+    past = forecast.forecast_horizons(before, PANEL, forecast.fit_horizons(before, SPECS, ["x", "c"], future=False))
+    assert {r.t for r in past.select("t").distinct().collect()} == {11, 12}
+    shifts = forecast.residual_quantiles(found, alphas).unionByName(forecast.residual_quantiles(past, alphas, "test"))
+    moved = forecast.interval_forecasts(found, shifts, PANEL)
     wide = moved.groupBy("stage", "id").pivot("alpha", ["0.05", "0.5", "0.95"]).agg(F.first("forecast"))
     assert wide.where("`0.05` > `0.5` OR `0.5` > `0.95`").count() == 0 and wide.count() == 240
     path = new_path(spark, "long")
