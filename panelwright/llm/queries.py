@@ -39,3 +39,47 @@ def token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelwright.llm.tokens import default_vocabulary
 
     return read_shards(*store_documents(table(spark, sf_dir, "documents"), default_vocabulary(), end_id=1))
+
+
+@query("op5_mix_sources")
+def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    from panelwright.llm.mixing import mix
+
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query("op6_repetition_rules")
+def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts, repetition and verdict of every document."""
+    from panelwright.llm.repetition import repetition
+
+    return repetition(table(spark, sf_dir, "documents"))
+
+
+@query("op4_simhash")
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text.
+
+    ``n_near`` says for every document whose id is divisible by 100 how many documents have a fingerprint within three
+    bits of its own, itself included.
+    """
+    from pyspark.sql import functions as F
+
+    from panelwright.llm.simhash import fingerprint_documents, likeness, near_counts
+    from panelwright.storage import materialize
+
+    marked = materialize(fingerprint_documents(table(spark, sf_dir, "documents")), "marked")
+    asked = F.coalesce(F.col("doc_id") % 100 == 0, F.lit(False))
+    joined = marked.join(near_counts(marked, asked), "fingerprint", "left")
+    return joined.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        F.lpad(F.lower(F.hex("edited_fingerprint")), 16, "0").alias("edited_fingerprint"),
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        F.when(asked, F.col("n_near")).alias("n_near"),
+    )
