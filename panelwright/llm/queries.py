@@ -83,3 +83,19 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
         F.when(asked, F.col("n_near")).alias("n_near"),
     )
+
+
+@query("op9_secret_spans")
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, sure ones and linked weak ones."""
+    from panelwright.llm.credentials import digests, find_secrets
+
+    return digests(find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op8_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, sure forms and what the trees add."""
+    from panelwright.llm.pii import digests, find_personal
+
+    return digests(find_personal(table(spark, sf_dir, "documents")))
