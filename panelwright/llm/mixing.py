@@ -20,12 +20,18 @@ from panelwright.storage import materialize
 _CHUNK = 1 << 16
 
 
+def _keys(prefix: str = "") -> dict[str, Column]:
+    words = F.size(F.regexp_extract_all(text_of(f"{prefix}text"), F.lit(WORD + "+"), F.lit(0)))  # possessive: never tried again
+    return {
+        "doc_id": F.col(f"{prefix}doc_id").cast("bigint"),
+        "source": F.col(f"{prefix}source").cast("string"),
+        "size": words.cast("bigint"),
+    }
+
+
 def with_size(documents: DataFrame) -> DataFrame:
     """doc_id, source and the number of words of every document; a null text has none."""
-    words = F.size(F.regexp_extract_all(text_of(), F.lit(WORD + "+"), F.lit(0)))  # possessive: never tried again
-    return documents.select(
-        F.col("doc_id").cast("bigint"), F.col("source").cast("string"), words.cast("bigint").alias("size")
-    )
+    return documents.select(*[v.alias(k) for k, v in _keys().items()])
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = 3.0) -> DataFrame:
@@ -187,3 +193,25 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most
     taken = F.when(F.col("size") > 0, taken).otherwise(F.lit(1))
     rows = rows.withColumn("copies", taken.cast("bigint"))
     return rows.select(*keys, "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def repeat_documents(documents: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = 3.0, seed: int = 0) -> DataFrame:
+    """The documents of the mix: each as often as ``mix`` says, with all its columns.
+
+    Documents that the mix does not take are left out; documents without words stay once. Equal rows are numbered, so
+    that together they give the copies that were decided for them.
+    """
+    keys = ["doc_id", "source", "size"]
+    counted = mix(documents, weights, most, seed).groupBy(*keys).agg(
+        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
+    )
+    counted = counted.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "_copies", "_rows")
+    packed = documents.select(F.struct("*").alias("_row"))
+    packed = packed.withColumns({f"_k_{k}": v for k, v in _keys("_row.").items()})
+    same = [F.col(f"_k_{k}").eqNullSafe(F.col(f"_m_{k}")) for k in keys]
+    joined = packed.join(counted, same).filter("_copies > 0")
+    equal = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy(F.xxhash64("_row.text"))
+    turn = F.row_number().over(equal)
+    own = F.floor(F.col("_copies") / F.col("_rows")) + F.when(turn <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
+    placed = joined.select("_row", own.alias("_own")).filter("_own > 0")
+    return placed.select("_row", F.explode(F.sequence(F.lit(1), F.col("_own").cast("int"))).alias("_copy")).select("_row.*")

@@ -124,3 +124,19 @@ def jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelwright.llm.jaccard import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_repeated_passages")
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of every document that an earlier one holds as well."""
+    from panelwright.llm.chunks import repeated_passages as run
+
+    return run(table(spark, sf_dir, "documents"))
+
+
+@query("op3_page_text")
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from panelwright.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
