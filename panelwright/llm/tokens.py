@@ -10,13 +10,15 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain, islice
 
 import numpy as np
 
 from panelwright.llm.common import concat_ranges
 
-#: Anything but these characters, or "<|", sends the text to the tokenizer as a whole.
-_UNSURE = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ɏ]|<\\|")
+#: Anything but these characters sends the text to the tokenizer as a whole.
+_SURE = re.compile("[\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u024f]*")
+_SURE_BYTES = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
 _TAIL = ".,!?;:%#$*&|"
 _JOINED = 256
 
@@ -27,13 +29,32 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _sure(text: str) -> bool:
+    """Whether the text is the sequence of its words to the tokenizer, in any case."""
+    if "<|" in text:
+        return False
+    try:
+        return not text.encode("latin-1").translate(None, _SURE_BYTES)
+    except UnicodeEncodeError:
+        return _SURE.fullmatch(text) is not None
+
+
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class WordEncoder:
     """Encodes texts with a lower-casing BPE vocabulary whose tokens mark the end of a word.
 
-    ``max_words`` bounds the remembered words; when it is reached the memory starts anew, results do not change.
+    A word is a core and a tail of punctuation, each a range of ids in ``flat``. ``max_words`` bounds the remembered
+    words; when it is reached the memory starts anew, results do not change.
     """
 
-    def __init__(self, vocabulary: str, max_words: int = 1_000_000):
+    def __init__(self, vocabulary: str, max_words: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -44,75 +65,91 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat, self.used = np.zeros(4096, np.uint32), 0
-
-    def _remember(self, words: list[str], ids: list[np.ndarray]) -> None:
-        lengths = np.array([len(x) for x in ids], np.int64)
-        first, need = len(self.index), len(self.index) + len(words)
-        while need > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        total = int(lengths.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.starts[first:need] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[first:need] = lengths
-        if total:
-            self.flat[self.used : self.used + total] = np.concatenate(ids)
-        self.used += total
-        self.index.update(zip(words, range(first, need), strict=True))
-
-    def _encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of single words; runs of letters are encoded many at a time and cut at the word ends."""
-        out: dict[str, np.ndarray] = {}
-        cores = {w: w.rstrip(_TAIL) for w in words}
-        letters = sorted({c for c in cores.values() if c.isalpha()})
+        self.numbers = _Numbers()
+        self.parts = {"": 0}  # cores and tails, by their row in ``ranges``
+        self.ranges = _Growing(np.zeros((1, 2), np.int64))
+        self.words = _Growing(np.zeros((0, 2), np.int64))  # rows of core and tail
+        self.flat = _Growing(np.zeros(0, np.uint32))
+
+    def _learn_parts(self, fresh: list[str]) -> None:
+        """Encode cores and tails; runs of letters many at a time, cut at the word ends."""
+        letters = [p for p in fresh if p.isalpha()]
         batches = [letters[i : i + _JOINED] for i in range(0, len(letters), _JOINED)]
         encoded = self.tokenizer.encode_batch_fast([" ".join(b) for b in batches], add_special_tokens=False)
-        unsure: set[str] = set()
+        single = [p for p in fresh if not p.isalpha()]
         for batch, text in zip(batches, encoded, strict=True):
             ids = np.array(text.ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(batch) and stops[-1] == len(ids):
-                out.update(zip(batch, np.split(ids, stops[:-1]), strict=True))
+                self._add(batch, ids, np.diff(stops, prepend=0))
             else:
-                unsure.update(batch)
-        unsure |= {w[len(c) :] for w, c in cores.items() if c in out and len(c) < len(w)}
-        unsure |= {w for w, c in cores.items() if c not in out}
-        single = sorted(unsure)
-        for word, text in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
-            out[word] = np.array(text.ids, np.uint32)
-        return [
-            out[w] if w in out else np.concatenate([out[cores[w]], out[w[len(cores[w]) :]]])
-            for w in words
-        ]
+                single += batch
+        ids_of = [x.ids for x in self.tokenizer.encode_batch_fast(single, add_special_tokens=False)]
+        flat = np.array([i for ids in ids_of for i in ids], np.uint32)
+        self._add(single, flat, np.array([len(x) for x in ids_of], np.int64))
+
+    def _add(self, parts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first = len(self.ranges)
+        self.ranges.extend(np.stack([len(self.flat) + np.cumsum(lengths) - lengths, lengths], axis=1))
+        self.flat.extend(ids)
+        self.parts.update(zip(parts, range(first, first + len(parts)), strict=True))
+
+    def _learn_words(self, words: list[str]) -> None:
+        cores = [w.rstrip(_TAIL) for w in words]
+        # a tail is cut off only where letters end, which is the end of a pre-token
+        cores = [c if c[-1:].isalpha() else w for c, w in zip(cores, words, strict=True)]
+        tails = [w[len(c) :] for c, w in zip(cores, words, strict=True)]
+        fresh = list(dict.fromkeys(p for p in (*cores, *tails) if p not in self.parts))
+        if fresh:
+            self._learn_parts(fresh)
+        find = self.parts.__getitem__
+        rows = np.fromiter(map(find, cores), np.int64, len(cores)), np.fromiter(map(find, tails), np.int64, len(tails))
+        self.words.extend(np.stack(rows, axis=1))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, as the tokenizer gives them without special tokens."""
-        results: list[np.ndarray | None] = [None] * len(texts)
-        split: list[list[str]] = []
-        places: list[int] = []
-        for i, text in enumerate(texts):
-            if _UNSURE.search(text):
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                results[i] = np.array(ids, np.uint32)
-            else:
-                split.append(text.lower().split())
-                places.append(i)
-        fresh = list(dict.fromkeys(w for words in split for w in words if w not in self.index))
-        if len(self.index) + len(fresh) > self.max_words:
+        if len(self.numbers) > self.max_words:
             self._forget()
-            fresh = list(dict.fromkeys(w for words in split for w in words))
-        if fresh:
-            self._remember(fresh, self._encode_words(fresh))
-        known = self.index
-        for i, words in zip(places, split, strict=True):
-            at = np.array([known[w] for w in words], np.int64)
-            results[i] = self.flat[concat_ranges(self.starts[at], self.lengths[at])] if len(at) else np.empty(0, np.uint32)
+        whole = [i for i, text in enumerate(texts) if not _sure(text)]
+        skipped = set(whole)
+        split = [[] if i in skipped else text.lower().split() for i, text in enumerate(texts)]
+        counts = np.array([len(w) for w in split], np.int64)
+        known = len(self.numbers)
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        if len(self.numbers) > known:
+            self._learn_words(list(islice(reversed(self.numbers), len(self.numbers) - known))[::-1])
+        ranges = self.ranges.values[self.words.values[at].ravel()]
+        ids = self.flat.values[concat_ranges(ranges[:, 0], ranges[:, 1])]
+        sizes = np.concatenate([[0], np.cumsum(ranges[:, 1])])[2 * np.cumsum(counts)]
+        results = np.split(ids, sizes[:-1]) if len(texts) else []
+        for i in whole:
+            results[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
         return results
 
 
+class _Growing:
+    """Array that is extended at its end."""
+
+    def __init__(self, values: np.ndarray):
+        self.room, self.used = values, len(values)
+
+    def __len__(self) -> int:
+        return self.used
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.used]
+
+    def extend(self, more: np.ndarray) -> None:
+        need = self.used + len(more)
+        if need > len(self.room):
+            room = np.zeros((max(need, 2 * len(self.room)), *self.room.shape[1:]), self.room.dtype)
+            room[: self.used] = self.values
+            self.room = room
+        self.room[self.used : need] = more
+        self.used = need
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
