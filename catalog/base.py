@@ -11,7 +11,7 @@ ORACLES: dict[str, str] = {}
 
 VIEWS = {
     "panel": """
-SELECT CAST((t*100000+center_id)*10+meal_id AS BIGINT) AS id, t AS week, center_id, meal_id,
+SELECT CAST((center_id*1000+t)*10+meal_id AS BIGINT) AS id, t AS week, center_id, meal_id,
        CAST(round(min(l_extendedprice)*100) AS BIGINT) AS checkout_price,
        CAST(round(max(l_extendedprice)*100) AS BIGINT) AS base_price,
        CAST(max(CASE WHEN l_discount >= 0.09 THEN 1 ELSE 0 END) AS INT) AS emailer_for_promotion,
@@ -22,7 +22,6 @@ FROM (SELECT l.*, CAST(l_suppkey AS BIGINT) AS center_id,
                               WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 ELSE 6 END AS INT) AS meal_id,
              CAST((year(l_shipdate)-1995)*12 + month(l_shipdate) AS INT) AS t
       FROM lineitem l JOIN part ON l_partkey = p_partkey) x
-WHERE t <= 80
 GROUP BY t, center_id, meal_id""",
     "center_info": """
 SELECT CAST(s_suppkey AS BIGINT) AS center_id, s_nationkey AS city_code, n_regionkey AS region_code,
@@ -32,10 +31,10 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "meal_info": """
 SELECT * FROM (VALUES (1,'Core','ECONOMY'),(2,'Size','LARGE'),(3,'Size','MEDIUM'),
                       (4,'Deal','PROMO'),(5,'Size','SMALL'),(6,'Core','STANDARD')) AS m(meal_id, category, cuisine)""",
-    "history": "SELECT * FROM panel WHERE week <= 70",
-    "future": "SELECT * REPLACE (CAST(NULL AS BIGINT) AS num_orders) FROM panel WHERE week > 70",
-    "truth": "SELECT id, num_orders FROM panel WHERE week > 70",
-    "full_panel": "SELECT * REPLACE (CASE WHEN week <= 70 THEN num_orders END AS num_orders) FROM panel",
+    "history": "SELECT * FROM panel WHERE week <= 73",
+    "future": "SELECT * REPLACE (CAST(NULL AS BIGINT) AS num_orders) FROM panel WHERE week > 73",
+    "truth": "SELECT id, num_orders FROM panel WHERE week > 73",
+    "full_panel": "SELECT * REPLACE (CASE WHEN week <= 73 THEN num_orders END AS num_orders) FROM panel",
     "enriched": """
 SELECT p.*, city_code, region_code, center_type, op_area, category, cuisine
 FROM panel p JOIN center_info USING (center_id) JOIN meal_info USING (meal_id)""",
@@ -44,7 +43,7 @@ SELECT f.id, f.week, f.center_id, f.meal_id, m.forecast
 FROM future f LEFT JOIN (SELECT center_id, meal_id, avg(num_orders) AS forecast FROM history GROUP BY ALL) m
   USING (center_id, meal_id)""",
     "scored": "SELECT b.*, t.num_orders AS actual FROM baseline b JOIN truth t USING (id)",
-    "folds": "SELECT CAST(k AS BIGINT) AS fold, 20 + 10 * k AS start FROM range(5) r(k)",
+    "folds": "SELECT CAST(k AS BIGINT) AS fold, 23 + 10 * k AS start FROM range(5) r(k)",
     "foldrows": """
 SELECT h.*, fold, CASE WHEN week <= start THEN 'train' ELSE 'test' END AS role
 FROM history h JOIN folds ON week <= start OR (week > start AND week <= start + 10)""",

@@ -257,14 +257,14 @@ def lag_features(spark, sf_dir) -> DataFrame:
 SELECT center_id, meal_id, CAST(row_number() OVER o - 1 AS BIGINT) AS series_no, CAST(sum(n) OVER o - n AS BIGINT) AS start_row,
        CAST(sum(n) OVER o - n + train AS BIGINT) AS train_end_row, CAST(sum(n) OVER o - n + known AS BIGINT) AS test_end_row,
        CAST(sum(n) OVER o AS BIGINT) AS end_row
-FROM (SELECT center_id, meal_id, count(*) AS n, count(*) FILTER (week <= 60) AS train, count(*) FILTER (week <= 70) AS known
+FROM (SELECT center_id, meal_id, count(*) AS n, count(*) FILTER (week <= 63) AS train, count(*) FILTER (week <= 73) AS known
       FROM panel GROUP BY ALL) WINDOW o AS (ORDER BY center_id, meal_id)""")
 def series_offsets(spark, sf_dir) -> DataFrame:
     return offsets.series_offsets(fixture.panel(spark, sf_dir), SPEC, BOUNDS.train_time, BOUNDS.test_time)
 
 
 @query("series_phase", "panel", sql="""
-SELECT id, center_id, meal_id, week, CASE WHEN week <= 60 THEN 'train' WHEN week <= 70 THEN 'test' ELSE 'future' END AS phase FROM panel""")
+SELECT id, center_id, meal_id, week, CASE WHEN week <= 63 THEN 'train' WHEN week <= 73 THEN 'test' ELSE 'future' END AS phase FROM panel""")
 def series_phase(spark, sf_dir) -> DataFrame:
     tagged = offsets.series_phase(fixture.panel(spark, sf_dir), SPEC, BOUNDS.train_time, BOUNDS.test_time)
     return tagged.select("id", *KEYS, "week", "phase")

@@ -39,7 +39,7 @@ def profile_string(spark, sf_dir) -> DataFrame:
 @query("profile_quality", "enriched", sql=" UNION ALL ".join(f"""
 SELECT '{c}' AS "column", CAST(count(*) FILTER ({'false' if c in TEXTS else c + ' = 0'}) AS BIGINT) AS zero_count,
        CAST(count(*) - count({c}) AS BIGINT) AS missing_count, CAST(count(DISTINCT {c}) AS BIGINT) AS unique_count
-FROM (SELECT * REPLACE (CASE WHEN week <= 70 THEN num_orders END AS num_orders) FROM enriched)"""
+FROM (SELECT * REPLACE (CASE WHEN week <= 73 THEN num_orders END AS num_orders) FROM enriched)"""
     for c in (*NUMBERS, *TEXTS, "city_code", "region_code", "op_area")))
 def profile_quality(spark, sf_dir) -> DataFrame:
     return profile.profile_quality(fixture.enriched(spark, sf_dir, fixture.with_future(spark, sf_dir)))
@@ -57,7 +57,7 @@ def schema_report(spark, sf_dir) -> DataFrame:
 
 
 CORRELATED = ("week", "checkout_price", "base_price", "emailer_for_promotion", "homepage_featured", "op_area", "num_orders")
-_KNOWN = "(SELECT * REPLACE (CASE WHEN week <= 70 THEN num_orders END AS num_orders) FROM enriched)"
+_KNOWN = "(SELECT * REPLACE (CASE WHEN week <= 73 THEN num_orders END AS num_orders) FROM enriched)"
 
 
 @query("corr_pearson", "enriched", sql=" UNION ALL ".join(f"""

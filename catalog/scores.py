@@ -110,9 +110,9 @@ def worst_residuals(spark, sf_dir) -> DataFrame:
 
 @query("residual_quantiles", "panel", sql="""
 SELECT horizon, round(quantile_cont(r, 0.05), 8) AS q05, round(quantile_cont(r, 0.5), 8) AS q50, round(quantile_cont(r, 0.95), 8) AS q95
-FROM (SELECT p.week - 60 AS horizon, ln(p.num_orders + 1) - ln(m.mean + 1) AS r
-      FROM panel p JOIN (SELECT center_id, meal_id, avg(num_orders) AS mean FROM panel WHERE week <= 60 GROUP BY ALL) m
-        USING (center_id, meal_id) WHERE p.week > 60 AND p.week <= 70) GROUP BY horizon""")
+FROM (SELECT p.week - 63 AS horizon, ln(p.num_orders + 1) - ln(m.mean + 1) AS r
+      FROM panel p JOIN (SELECT center_id, meal_id, avg(num_orders) AS mean FROM panel WHERE week <= 63 GROUP BY ALL) m
+        USING (center_id, meal_id) WHERE p.week > 63 AND p.week <= 73) GROUP BY horizon""")
 def residual_quantiles(spark, sf_dir) -> DataFrame:
     roles = splits.gap_roles(fixture.panel(spark, sf_dir), SPEC.time, BOUNDS, gap=0)
     train, test = (roles.where(F.col("role") == r).drop("role") for r in ("train", "test"))

@@ -108,7 +108,7 @@ def prune_columns(spark, sf_dir) -> DataFrame:
                               ["checkout_price", "category", "center_type"])
 
 
-@query("time_slice", "panel", sql="SELECT * FROM panel WHERE week > 60 AND week <= 70")
+@query("time_slice", "panel", sql="SELECT * FROM panel WHERE week > 63 AND week <= 73")
 def time_slice(spark, sf_dir) -> DataFrame:
     return rows.time_slice(fixture.panel(spark, sf_dir), SPEC.time, BOUNDS.train_time, BOUNDS.test_time)
 
@@ -197,8 +197,8 @@ def submission(spark, sf_dir) -> DataFrame:
 
 
 @query("time_bounds", "panel", sql="""
-SELECT CAST(min(week) AS INT) AS start_time, 60 AS train_time, CAST(max(CASE WHEN week <= 70 THEN week END) AS INT) AS test_time,
-       CAST(max(week) AS INT) AS end_time, CAST(max(week) - 70 AS INT) AS tstep,
+SELECT CAST(min(week) AS INT) AS start_time, 63 AS train_time, CAST(max(CASE WHEN week <= 73 THEN week END) AS INT) AS test_time,
+       CAST(max(week) AS INT) AS end_time, CAST(max(week) - 73 AS INT) AS tstep,
        CAST(count(DISTINCT (center_id, meal_id)) AS BIGINT) AS series FROM panel""")
 def time_bounds(spark, sf_dir) -> DataFrame:
     parts = fixture.split(spark, sf_dir)
@@ -206,7 +206,7 @@ def time_bounds(spark, sf_dir) -> DataFrame:
 
 
 @query("gap_split", "panel", sql="""
-SELECT id, week, CASE WHEN week <= 57 THEN 'train' ELSE 'test' END AS role FROM panel WHERE week <= 57 OR (week > 60 AND week <= 70)""")
+SELECT id, week, CASE WHEN week <= 60 THEN 'train' ELSE 'test' END AS role FROM panel WHERE week <= 60 OR (week > 63 AND week <= 73)""")
 def gap_split(spark, sf_dir) -> DataFrame:
     return splits.gap_roles(fixture.panel(spark, sf_dir), SPEC.time, BOUNDS, gap=3).select("id", "week", "role")
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions.columns import is_whole
+from panelwright.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -76,7 +78,8 @@ def histograms(df: DataFrame, columns: Sequence[str], target: str, nbins: int, n
         present = ~F.isnan(x)
         cells[c] = F.when(present if math.isnan(no_data) else present & (x != no_data), x)
     y = F.col(target).cast("double")
-    values = df.select(F.when(~F.isnan(y), y).alias("_target"), *[x.alias(c) for c, x in cells.items()])
+    # Stored, so that the source is read once for the plan, the exact counts and the bins.
+    values = materialize(df.select(F.when(~F.isnan(y), y).alias("_target"), *[x.alias(c) for c, x in cells.items()]), "histogram")
     plans = plan_bins(values, list(columns), nbins)
     if not plans:
         raise ValueError("no column has a value")
@@ -96,10 +99,12 @@ def histograms(df: DataFrame, columns: Sequence[str], target: str, nbins: int, n
         "width": [p.width for p in plans.values()],
         "bins": [p.count for p in plans.values()],
     }
-    frame = df.sparkSession.createDataFrame(pa.table(plan_rows))
-    every = frame.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bins").cast("bigint") - 1)).alias("bin"))
-    # The filled side has one row per column and bin.
-    return every.join(F.broadcast(filled), ["column", "bin"], "left").select(
+    spark = df.sparkSession
+    frame = F.broadcast(spark.createDataFrame(pa.table(plan_rows)))  # one row per column
+    # Bins are numbered by a distributed range, as a column of far-apart categories may have any number of them.
+    numbers = [spark.range(p.count).select(F.lit(c).alias("column"), F.col("id").alias("bin")) for c, p in plans.items()]
+    every = reduce(DataFrame.unionByName, numbers).join(frame, "column")
+    return every.join(filled, ["column", "bin"], "left").select(
         "column",
         "categorical",
         "bin",

@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
+from panelwright.functions.names import quoted
 from panelwright.operators.series import Frame, add_frames
 from panelwright.spec import PanelSpec
 
@@ -91,7 +92,7 @@ def lag_groups(spec: LagSpec, tstep: int) -> dict[str, list[str]]:
     return {c: list(lag_frames(replace(spec, observed=(), stats=(), known=(c,)), tstep)) for c in spec.known}
 
 
-def add_lags(df: DataFrame, panel: PanelSpec, specs: Sequence[LagSpec], tstep: int, **pieces: int) -> DataFrame:
+def add_lags(df: DataFrame, panel: PanelSpec, specs: Sequence[LagSpec], tstep: int, **blocks: int) -> DataFrame:
     """Add the lag columns of all settings at once; columns that several settings share are computed once.
 
     A lag of the time column is the age of the lagged row: the current period minus the averaged one.
@@ -99,6 +100,6 @@ def add_lags(df: DataFrame, panel: PanelSpec, specs: Sequence[LagSpec], tstep: i
     frames = {name: frame for spec in specs for name, frame in lag_frames(spec, tstep).items()}
     if not frames:
         return df
-    wide = add_frames(df, panel, frames, **pieces)
+    wide = add_frames(df, panel, frames, **blocks)
     ages = {n for n, f in frames.items() if f.column == panel.time}
-    return wide.selectExpr(*[f"{panel.time} - {c} AS {c}" if c in ages else c for c in wide.columns])
+    return wide.selectExpr(*[f"{quoted(panel.time)} - {quoted(c)} AS {quoted(c)}" if c in ages else quoted(c) for c in wide.columns])

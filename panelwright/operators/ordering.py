@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwright.functions.names import quoted
 from panelwright.storage import materialize
 
 _POSITION, _PART = "_position", "_part"
@@ -26,7 +27,7 @@ class OrderedRows:
     """
 
     def __init__(self, df: DataFrame, order: Sequence[str], values: dict[str, str | Column] | None = None):
-        self.columns = df.columns
+        self.columns = [quoted(c) for c in df.columns]
         self.values = {out: F.expr(v) if isinstance(v, str) else v for out, v in (values or {}).items()}
         # The position is taken after the sort and stored, so that no later evaluation can number rows differently.
         self.stored = materialize(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators.ordering import running_totals
-from panelwright.storage import materialize, sized
+from panelwright.storage import BroadcastBudget, materialize, stored_bytes
 
 
 def value_positions(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
@@ -23,12 +23,13 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str) -> DataFra
     """
     present = df.select(*groups, value).dropna(subset=[*groups, value])
     counts = present.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
-    ordered = running_totals(counts, [*groups, value], {"_upto": "n"})
+    # Stored, so that the running totals are taken once for the starts and the rows.
+    ordered = materialize(running_totals(counts, [*groups, value], {"_upto": "n"}), "positions")
     starts = ordered.groupBy(*groups).agg(
         F.min(F.col("_upto") - F.col("n")).alias("_start"), F.sum("n").alias("group_rows")
     )
     starts = materialize(starts, "group-starts")  # one row per group
-    joined = ordered.join(sized(starts, starts.count()), [*groups])
+    joined = ordered.join(BroadcastBudget().sized(starts, stored_bytes(starts)), [*groups])
     return joined.select(*groups, value, "n", (F.col("_upto") - F.col("_start")).alias("upto"), "group_rows")
 
 

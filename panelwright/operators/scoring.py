@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.functions.columns import ratio
 from panelwright.operators.quantiles import quantiles
+from panelwright.storage import materialize
 
 ACTUAL, FORECAST = "actual", "forecast"
 
@@ -41,17 +41,21 @@ def variance_score(actual: str = ACTUAL, forecast: str = FORECAST) -> Column:
 
 
 def r2_weighted(df: DataFrame, weight: str, by: Sequence[str] = ()) -> DataFrame:
-    """R2 with weights, by group. The weighted mean is taken in a first pass, so that large targets keep precision."""
+    """R2 with weights, by group, in one aggregation.
+
+    The spread around the weighted mean is that around the group's plain mean less the weighted shift between the two,
+    which keeps precision for large targets. Rows without target, forecast or weight count in neither part.
+    """
     y, p = _pair(ACTUAL, FORECAST)
-    rows = df.select(*by, y.alias("_y"), p.alias("_p"), F.col(weight).cast("double").alias("_w"))
-    mean = ratio(F.sum(F.col("_y") * F.col("_w")), F.sum("_w")).alias("_mean")
-    if by:
-        rows = rows.join(rows.groupBy(*by).agg(mean), list(by))
-    else:
-        rows = rows.withColumn("_mean", F.lit(rows.agg(mean).first()["_mean"]))
-    error, spread = F.col("_y") - F.col("_p"), F.col("_y") - F.col("_mean")
-    weighted = F.try_divide(F.avg(F.col("_w") * error * error), F.avg(F.col("_w") * spread * spread))
-    return rows.groupBy(*by).agg((1 - weighted).alias("r2_weighted"))
+    w = F.col(weight).cast("double")
+    valid = y.isNotNull() & p.isNotNull() & w.isNotNull()
+    rows = materialize(df.select(*by, F.when(valid, y).alias("_y"), F.when(valid, p).alias("_p"), F.when(valid, w).alias("_w")), "weighted")
+    pilot = rows.groupBy(*by).agg(F.avg("_y").alias("_pilot"))
+    rows = rows.join(pilot, list(by)) if by else rows.crossJoin(F.broadcast(pilot))  # the pilot is one row
+    error, off, weighed = F.col("_y") - F.col("_p"), F.col("_y") - F.col("_pilot"), F.col("_w")
+    total = F.sum(weighed)
+    spread = F.sum(weighed * off * off) - F.try_divide(F.sum(weighed * off) * F.sum(weighed * off), total)
+    return rows.groupBy(*by).agg((1 - F.try_divide(F.sum(weighed * error * error), spread)).alias("r2_weighted"))
 
 
 def score_sheet(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -92,7 +96,8 @@ def cv_score_spread(df: DataFrame, nfold: int, fold: str = "fold") -> DataFrame:
 def residuals_by_time(df: DataFrame, time: str) -> DataFrame:
     """Per period: rows, mean forecast and, where the target is known, statistics of the absolute error and R2."""
     y, p = _pair(ACTUAL, FORECAST)
-    rows = df.select(time, ACTUAL, FORECAST, F.abs(p - y).alias("_error"))
+    # Stored, so that the pairs are made once for the plain statistics and the medians.
+    rows = materialize(df.select(time, ACTUAL, FORECAST, F.abs(p - y).alias("_error")), "errors")
     simple = rows.groupBy(time).agg(
         F.count(F.lit(1)).alias("rows"),
         F.avg(FORECAST).alias("mean_forecast"),

@@ -1,8 +1,11 @@
 """Windows over the rows of one series: expanding means, shifts, rolling means.
 
 A series whose length is bounded (``PanelSpec.max_rows``) is handled by an ordinary window: one shuffle and one sort
-serve all expressions. A series of unknown length may hold any share of the rows. It is cut by time into pieces; each
-piece continues from the totals of the pieces before it, or sees copies of the neighbouring rows its frames reach.
+serve all expressions. A series of unknown length may hold any share of the rows. Its rows are numbered over a global
+order and cut by their number into blocks of bounded size; each block continues from the totals of the blocks before
+it, or sees copies of the neighbouring rows its frames reach.
+
+A row with a NULL key or period belongs to no series: it stays, and its results are NULL. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -14,27 +17,47 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.columns import ratio
+from panelwright.functions.names import quoted
+from panelwright.operators.ordering import row_ranks
 from panelwright.spec import PanelSpec
+from panelwright.storage import materialize
 
 # Rows of one series that a single task may sort and scan.
 SERIES_ROWS = 1_000_000
 
-_PIECE, _ROW, _BLOCK = "_piece", "_row", "_block"
+_ROW, _BLOCK, _PLACED, _RANK = "_row", "_block", "_placed", "_rank"
 
 
 def is_bounded(spec: PanelSpec) -> bool:
     return spec.max_rows is not None and spec.max_rows <= SERIES_ROWS
 
 
-def _pieces(df: DataFrame, spec: PanelSpec, keys: Sequence[str], piece_periods: int, sums: dict[str, Column]) -> DataFrame:
-    """Tag rows with their piece of time and the totals of ``sums`` over all earlier pieces of the series."""
-    tagged = df.withColumn(_PIECE, F.floor(F.col(spec.time) / piece_periods))
-    totals = tagged.groupBy(*keys, _PIECE).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
-    earlier = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        *keys, _PIECE, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_start_{n}") for n in sums]
-    )
-    return tagged.join(starts, [*keys, _PIECE])
+def _names(names: Sequence[str]) -> list[str]:
+    return [quoted(n) for n in names]
+
+
+def _present(spec: PanelSpec, keys: Sequence[str]) -> str:
+    return " AND ".join(f"{quoted(c)} IS NOT NULL" for c in (*keys, spec.time))
+
+
+def _within(spec: PanelSpec, keys: Sequence[str]) -> str:
+    """A window over a series in order; rows without a period come last."""
+    return f"PARTITION BY {', '.join(_names(keys))} ORDER BY {quoted(spec.time)} NULLS LAST, {quoted(spec.id)}"
+
+
+def _numbered(df: DataFrame, spec: PanelSpec, keys: Sequence[str]) -> DataFrame:
+    """Number the rows of every series 1, 2, ... without a window over a whole series, and store them.
+
+    Rows that belong to no series have no number.
+    """
+    placed = df.withColumn(_PLACED, F.expr(_present(spec, keys)))
+    ranked = materialize(row_ranks(placed, [_PLACED, *_names(keys), quoted(spec.time), quoted(spec.id)], _RANK), "numbered")
+    valid = ranked.where(_PLACED)
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(_names(keys))]
+    starts = valid.groupBy(*named).agg(F.min(_RANK).alias("_start"))
+    same = [F.col(k) == F.col(f"_key{i}") for i, k in enumerate(_names(keys))]
+    own = valid.join(starts, same).select(*_names(df.columns), (F.col(_RANK) - F.col("_start") + 1).alias(_ROW))
+    return own.unionByName(ranked.where(~F.col(_PLACED)).select(*_names(df.columns), F.lit(None).cast("bigint").alias(_ROW)))
 
 
 def expanding_means(
@@ -42,46 +65,61 @@ def expanding_means(
     spec: PanelSpec,
     columns: dict[str, str],
     extra_keys: Sequence[str] = (),
-    piece_periods: int = 10_000,
+    block_rows: int = 100_000,
 ) -> DataFrame:
     """Mean of all rows of the series up to and including this one; ``columns`` maps output to input column.
 
     ``extra_keys`` split a series further, for example by promotion state.
     """
-    keys, order = [*spec.keys, *extra_keys], [spec.time, spec.id]
+    keys = [*spec.keys, *extra_keys]
     if is_bounded(spec):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({out: F.avg(c).over(w) for out, c in columns.items()})
+        over = f"OVER ({_within(spec, keys)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        means = [f"CASE WHEN {_present(spec, keys)} THEN avg({quoted(c)}) {over} END AS {quoted(o)}" for o, c in columns.items()]
+        return df.selectExpr(*_names(df.columns), *means)
     names = list(dict.fromkeys(columns.values()))
-    sums = {f"_sum_{c}": F.col(c).cast("double") for c in names}
-    sums |= {f"_n_{c}": F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in names}
-    cut = _pieces(df, spec, keys, piece_periods, sums)
-    w = Window.partitionBy(*keys, _PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    values = {c: F.col(quoted(c)).cast("double") for c in names}
+    numbered = materialize(_numbered(df, spec, keys), "numbered-rows")
+    cut = numbered.withColumn(_BLOCK, F.floor((F.col(_ROW) - 1) / block_rows))
+    by = [F.col(k) for k in _names(keys)]
+    totals = cut.where(F.col(_ROW).isNotNull()).groupBy(*[k.alias(f"_key{i}") for i, k in enumerate(by)], _BLOCK).agg(
+        *[F.sum(v).alias(f"_sum{j}") for j, v in enumerate(values.values())],
+        *[F.count(v).alias(f"_n{j}") for j, v in enumerate(values.values())],
+    )
+    named = [f"_key{i}" for i in range(len(keys))]
+    earlier = Window.partitionBy(*named).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    facts = [f"_{kind}{j}" for kind in ("sum", "n") for j in range(len(names))]
+    starts = totals.select(
+        *named, F.col(_BLOCK).alias("_of"), *[F.coalesce(F.sum(f).over(earlier), F.lit(0)).alias(f"_start{f}") for f in facts]
+    )
+    # Rows outside any series match no start and keep NULL results.
+    same = [k == F.col(n) for k, n in zip(by, named, strict=True)] + [F.col(_BLOCK) == F.col("_of")]
+    joined = cut.join(starts, same, "left")
+    w = Window.partitionBy(*by, _BLOCK).orderBy(_ROW).rowsBetween(Window.unboundedPreceding, 0)
     upto = {
-        c: ratio(
-            F.col(f"_start__sum_{c}") + F.coalesce(F.sum(F.col(c).cast("double")).over(w), F.lit(0.0)),
-            F.col(f"_start__n_{c}") + F.count(c).over(w),
+        c: F.when(
+            F.col(_ROW).isNotNull(),
+            ratio(
+                F.col(f"_start_sum{j}") + F.coalesce(F.sum(v).over(w), F.lit(0.0)),
+                F.col(f"_start_n{j}") + F.count(v).over(w),
+            ),
         )
-        for c in names
+        for j, (c, v) in enumerate(values.items())
     }
-    return cut.withColumns({out: upto[c] for out, c in columns.items()}).select(*df.columns, *columns)
+    return joined.select(*_names(df.columns), *[upto[c].alias(out) for out, c in columns.items()])
 
 
-def row_numbers(df: DataFrame, spec: PanelSpec, out: str, piece_periods: int = 10_000) -> DataFrame:
+def row_numbers(df: DataFrame, spec: PanelSpec, out: str) -> DataFrame:
     """Number the rows of every series 1, 2, ... by time."""
-    order = [spec.time, spec.id]
     if is_bounded(spec):
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*spec.keys).orderBy(*order)).cast("bigint"))
-    cut = _pieces(df, spec, spec.keys, piece_periods, {"_n": F.lit(1)})
-    w = Window.partitionBy(*spec.keys, _PIECE).orderBy(*order)
-    numbered = cut.withColumn(out, (F.col("_start__n") + F.row_number().over(w)).cast("bigint"))
-    return numbered.select(*df.columns, out)
+        number = f"CASE WHEN {_present(spec, spec.keys)} THEN cast(row_number() OVER ({_within(spec, spec.keys)}) AS bigint) END"
+        return df.selectExpr(*_names(df.columns), f"{number} AS {quoted(out)}")
+    return _numbered(df, spec, spec.keys).withColumnRenamed(_ROW, out)
 
 
-def density(df: DataFrame, spec: PanelSpec, out: str, piece_periods: int = 10_000) -> DataFrame:
+def density(df: DataFrame, spec: PanelSpec, out: str) -> DataFrame:
     """Rows of the series so far divided by the period number."""
-    numbered = row_numbers(df, spec, _ROW, piece_periods)
-    return numbered.withColumn(out, ratio(_ROW, spec.time)).drop(_ROW)
+    numbered = row_numbers(df, spec, _ROW)
+    return numbered.withColumn(out, ratio(F.col(_ROW), F.col(quoted(spec.time)))).drop(_ROW)
 
 
 def expanding_means_by_state(
@@ -89,14 +127,14 @@ def expanding_means_by_state(
     spec: PanelSpec,
     column: str,
     states: dict[str, tuple[str, ...]],
-    piece_periods: int = 10_000,
+    block_rows: int = 100_000,
 ) -> DataFrame:
     """Expanding means of one column by series and state; ``states`` maps output column to state columns.
 
     All state splits refine the series key, so one shuffle by series serves every one of them.
     """
     for out, extra in sorted(states.items(), key=lambda s: len(s[1])):
-        df = expanding_means(df, spec, {out: column}, extra, piece_periods)
+        df = expanding_means(df, spec, {out: column}, extra, block_rows)
     return df
 
 
@@ -114,12 +152,13 @@ class Frame:
     window: int = 1
     full: bool = False
 
-    def sql(self, window: str) -> str:
-        """The mean as SQL over a window given as ``PARTITION BY ... ORDER BY ...``."""
+    def sql(self, window: str, time: str) -> str:
+        """The mean as SQL over a window given as ``PARTITION BY ... ORDER BY ...``; rows without a period have no value."""
+        column = f"CASE WHEN {quoted(time)} IS NOT NULL THEN {quoted(self.column)} END"
         if self.window == 1:
-            moved = f"lag({self.column}, {-self.step})" if self.step < 0 else f"lead({self.column}, {self.step})"
+            moved = f"lag({column}, {-self.step})" if self.step < 0 else f"lead({column}, {self.step})"
             return f"cast({moved} OVER ({window}) AS double)"
-        value = f"CASE WHEN {_ROW} > {self.step} THEN {self.column} END" if self.step > 0 else self.column
+        value = f"CASE WHEN {_ROW} > {self.step} THEN {column} END" if self.step > 0 else column
         ends = [_row_bound(self.step - self.window + 1), _row_bound(self.step)]
         over = f"OVER ({window} ROWS BETWEEN {ends[0]} AND {ends[1]})"
         mean = f"avg({value}) {over}"
@@ -130,28 +169,30 @@ def _row_bound(offset: int) -> str:
     return "CURRENT ROW" if offset == 0 else f"{abs(offset)} {'PRECEDING' if offset < 0 else 'FOLLOWING'}"
 
 
-def add_frames(
-    df: DataFrame, spec: PanelSpec, frames: dict[str, Frame], piece_periods: int = 10_000, block_rows: int = 100_000
-) -> DataFrame:
+def add_frames(df: DataFrame, spec: PanelSpec, frames: dict[str, Frame], block_rows: int = 100_000) -> DataFrame:
     """Add one column per frame, counted in rows of the series and not in periods."""
+    present = _present(spec, spec.keys)
     bounded = is_bounded(spec)
     needs_row = not bounded or any(f.step > 0 and f.window > 1 for f in frames.values())
-    numbered = row_numbers(df, spec, _ROW, piece_periods) if needs_row else df
+    numbered = row_numbers(df, spec, _ROW) if needs_row else df
     if bounded:
-        w = f"PARTITION BY {', '.join(spec.keys)} ORDER BY {spec.time}, {spec.id}"
-        return numbered.selectExpr(*df.columns, *[f"{f.sql(w)} AS {out}" for out, f in frames.items()])
+        w = _within(spec, spec.keys)
+        wide = [f"CASE WHEN {present} THEN {f.sql(w, spec.time)} END AS {quoted(out)}" for out, f in frames.items()]
+        return numbered.selectExpr(*_names(df.columns), *wide)
     back = max(max(f.window - 1 - f.step, 0) for f in frames.values())
     ahead = max(max(f.step, 0) for f in frames.values())
     home = F.floor((F.col(_ROW) - 1) / block_rows)
     first = F.floor(F.greatest(F.col(_ROW) - 1 - ahead, F.lit(0)) / block_rows)
     last = F.floor((F.col(_ROW) - 1 + back) / block_rows)
-    blocks = numbered.withColumn("_home", home).withColumn(_BLOCK, F.explode(F.sequence(first, last)))
-    w = f"PARTITION BY {', '.join((*spec.keys, _BLOCK))} ORDER BY {_ROW}"
-    wide = blocks.selectExpr("*", *[f"{f.sql(w)} AS {out}" for out, f in frames.items()])
-    return wide.where(F.col(_BLOCK) == F.col("_home")).select(*df.columns, *frames)
+    # A row outside any series has no blocks and is kept as it is.
+    blocks = numbered.withColumn("_home", home).withColumn(_BLOCK, F.explode_outer(F.sequence(first, last)))
+    w = f"PARTITION BY {', '.join((*_names(spec.keys), _BLOCK))} ORDER BY {_ROW}"
+    wide = blocks.selectExpr("*", *[f"CASE WHEN {_ROW} IS NOT NULL THEN {f.sql(w, spec.time)} END AS {quoted(out)}" for out, f in frames.items()])
+    return wide.where(F.col(_BLOCK).eqNullSafe(F.col("_home"))).select(*_names(df.columns), *_names(frames))
 
 
 def rolling_deviation(df: DataFrame, spec: PanelSpec, column: str, window: int, out: str) -> DataFrame:
     """Value minus the mean of the last ``window`` rows; NULL until the series has that many valid rows."""
     wide = add_frames(df, spec, {"_mean": Frame(column, 0, window, full=True)})
-    return wide.withColumn(out, F.col(column) - F.col("_mean")).drop("_mean")
+    present = F.expr(_present(spec, spec.keys))
+    return wide.withColumn(out, F.when(present, F.col(quoted(column)) - F.col("_mean"))).drop("_mean")

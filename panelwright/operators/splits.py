@@ -73,8 +73,9 @@ def holdout_split(df: DataFrame, time: str, id_col: str, target: str, last: int,
 def gap_roles(df: DataFrame, time: str, bounds: Bounds, gap: int, back_test: bool = True, out: str = "role") -> DataFrame:
     """Mark rows ``train`` up to the origin minus a gap, ``test`` after the origin; rows of neither role drop."""
     origin, t = bounds.origin(back_test), F.col(time)
-    role = F.when(t <= origin - gap, "train").when((t > origin) & (t <= bounds.test_time), "test")
-    return df.withColumn(out, role).where(F.col(out).isNotNull())
+    # A plain condition on the period reaches the file scan; a condition on the role would not.
+    wanted = df.where((t <= origin - gap) | ((t > origin) & (t <= bounds.test_time)))
+    return wanted.withColumn(out, F.when(t <= origin - gap, "train").otherwise("test"))
 
 
 def fold_starts(nfold: int, tstep: int, max_t: int) -> list[tuple[int, int]]:

@@ -46,30 +46,34 @@ def earlier(problem: Problem) -> Problem:
 
 
 def fit_bank(problem: Problem, spec: LagSpec | None, features: Sequence[str], future: bool = True) -> Bank:
-    """Find the number of rounds on the held-out part, then refit for the back-test and, if asked, for the future.
+    """Find the number of rounds on held-out parts, then refit for the back-test and, if asked, for the future.
 
-    Refits see more periods than the validated model, so their rounds grow in the same proportion.
+    The back-test takes its rounds from a validation one forecast length earlier, so its errors are not those that
+    stopped its own boosting. Refits see more periods than the validated model, so their rounds grow in proportion.
     """
-    b, t = problem.bounds, problem.time
-    gap = spec.gap if spec else 0
-    checked = validate(problem, features, gap)
+    t, gap = problem.time, spec.gap if spec else 0
+    parts = {"test": earlier(problem)} | ({"final": problem} if future else {})
 
-    def refit(upto: int) -> Fitted:
-        rounds = max(1, int(checked.rounds * upto / (b.train_time - gap)))
+    def fit(part: Problem) -> Fitted:
+        checked = validate(part, features, gap)
+        upto = part.bounds.test_time
+        rounds = max(1, int(checked.rounds * upto / max(1, part.bounds.train_time - gap)))
         train = time_slice(problem.rows, t, upto=upto)
-        return fit_trees(train, features, problem.target, problem.categories, problem.params, rounds=rounds)
+        fitted = fit_trees(train, features, problem.target, problem.params, rounds=rounds)
+        fitted.scores = checked.scores
+        return fitted
 
-    wanted = {"test": b.train_time} if gap else {}
-    wanted |= {"final": b.test_time} if future else {}
-    refitted = dict(zip(wanted, run_together([lambda u=u: refit(u) for u in wanted.values()], len(wanted)), strict=True))
-    test = refitted.get("test", checked)
-    test.scores = checked.scores
-    return Bank(spec, test, refitted.get("final"))
+    done = dict(zip(parts, run_together([lambda p=p: fit(p) for p in parts.values()], len(parts)), strict=True))
+    return Bank(spec, done["test"], done.get("final"))
 
 
 def lag_problem(problem: Problem, panel: PanelSpec, specs: Sequence[LagSpec]) -> Problem:
-    """The problem with the lag columns of all horizons, computed in one shuffle and stored."""
-    return replace(problem, rows=materialize(add_lags(problem.rows, panel, specs, problem.bounds.tstep), "all-lags"))
+    """The problem with the lag columns of all horizons, computed in one shuffle and stored by period.
+
+    Fits and forecasts filter on the period and open only its files.
+    """
+    wide = add_lags(problem.rows, panel, specs, problem.bounds.tstep)
+    return replace(problem, rows=materialize(wide, "all-lags", partition_by=problem.time))
 
 
 def fit_horizons(

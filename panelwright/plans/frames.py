@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from panelwright.functions.columns import log_target
+from panelwright.functions.names import quoted
 from panelwright.operators.encoding import category_dictionary, encode_categories
 from panelwright.operators.groups import panel_features
 from panelwright.operators.joins import enrich
@@ -18,10 +19,9 @@ from panelwright.storage import materialize
 
 @dataclass(frozen=True)
 class TrainingFrame:
-    """Features, the target, and its logarithm (``log_target``) for every row; sizes of the encoded categories."""
+    """Features, the target, and its logarithm (``log_target``) for every row."""
 
     rows: DataFrame
-    categories: dict[str, int]
     log_target: str
 
 
@@ -33,21 +33,24 @@ def training_frame(
     prices: Sequence[str],
     flags: Sequence[str],
     engineered: bool = True,
+    order_upto: int | None = None,
 ) -> TrainingFrame:
     """Join dimensions, encode categories, add the engineered features and store the result once.
 
-    Statistics and expanding means use inputs that are known for future rows as well; only the target is not.
+    Category codes follow the mean logarithm of the target over the rows up to period ``order_upto``, which should lie
+    before every test part; without it they follow the values. Statistics and expanding means use inputs that are known for future rows as well; only the target is not.
     """
     wide = materialize(enrich(rows, dimensions), "enriched")
-    dictionary = materialize(category_dictionary(wide, categorical), "dictionary")
-    sizes = {r["column"]: r["count"] for r in dictionary.groupBy("column").count().collect()}
-    wide = encode_categories(wide, categorical, dictionary)
+    score = None
+    if order_upto is not None:
+        score = f"CASE WHEN {quoted(spec.time)} <= {order_upto} THEN ln(1 + {quoted(spec.target)}) END"
+    wide = encode_categories(wide, categorical, category_dictionary(wide, categorical, score))
     logged = f"log_{spec.target}"
     if engineered:
         wide = panel_features(wide, categorical, spec.time, spec.id, prices, flags)
         wide = expanding_means(wide, spec, {f"{c}_mean_ts": c for c in (*prices, *flags)})
         wide = density(wide, spec, "ts_mean")
-    return TrainingFrame(materialize(wide.withColumn(logged, log_target(spec.target)), "frame"), sizes, logged)
+    return TrainingFrame(materialize(wide.withColumn(logged, log_target(spec.target)), "frame"), logged)
 
 
 def raw_groups(features: Sequence[str]) -> list[list[str]]:

@@ -12,12 +12,13 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, GeneralizedL
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelwright.functions.names import quoted
 from panelwright.operators.scoring import r2
 from panelwright.sources.writers import read_settings, write_settings
 from panelwright.storage import shared_folder
 
-# Stands for a missing feature value; outside the range of every feature, so that one split isolates it.
-MISSING = -999_999.0
+# Stands for a missing feature value, below any value a feature may take, so that one split isolates it.
+MISSING = -1e300
 
 
 @dataclass(frozen=True)
@@ -39,7 +40,6 @@ class Fitted:
 
     model: GBTRegressionModel
     features: list[str]
-    categories: dict[str, int]
     scores: dict[str, float | None] = field(default_factory=dict)
 
     @property
@@ -48,7 +48,7 @@ class Fitted:
 
     def predict(self, rows: DataFrame, out: str = "forecast") -> DataFrame:
         """Add the prediction as column ``out``."""
-        assembled = assemble(rows, self.features, self.categories)
+        assembled = assemble(rows, self.features)
         return self.model.transform(assembled).withColumnRenamed("_prediction", out).drop("_features")
 
     def importances(self) -> dict[str, float]:
@@ -56,7 +56,7 @@ class Fitted:
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        settings = {"features": self.features, "categories": self.categories, "scores": self.scores}
+        settings = {"features": self.features, "scores": self.scores}
         write_settings(spark, settings, f"{path}/settings")
 
     @classmethod
@@ -69,30 +69,21 @@ def model_path(root: str, stage: str, horizon: int | None, alpha: str) -> str:
     return f"{root}/stage={stage}/horizon={'all' if horizon is None else horizon}/alpha={alpha}"
 
 
-def assemble(rows: DataFrame, features: Sequence[str], categories: dict[str, int], out: str = "_features") -> DataFrame:
-    """Put the features into one vector column. Declared categories keep their codes, shifted so that missing is 0."""
-    names = {f: f"_in_{f}" for f in features}
-    inputs = {}
-    for f, name in names.items():
-        if f in categories:
-            nominal = {"ml_attr": {"type": "nominal", "name": f, "num_vals": categories[f] + 1}}
-            inputs[name] = F.expr(f"cast(coalesce({f}, -1) + 1 as double)").alias(name, metadata=nominal)
-        else:
-            inputs[name] = F.expr(f"coalesce(cast({f} as double), {MISSING}D) AS {name}")
-    wide = rows.select("*", *inputs.values())
-    return VectorAssembler(inputCols=list(names.values()), outputCol=out).transform(wide).drop(*names.values())
+def assemble(rows: DataFrame, features: Sequence[str], out: str = "_features") -> DataFrame:
+    """Put the features into one vector column.
 
-
-def declared(features: Sequence[str], categories: dict[str, int], params: TreeParams) -> dict[str, int]:
-    """Categories few enough for a bin each; a larger one is split by the order of its codes, like a number."""
-    return {f: n for f, n in categories.items() if f in features and n + 1 <= params.max_bins}
+    Categories come as codes and are split by the order of the codes, whatever their number; see ``training_frame``.
+    """
+    inputs = {f: f"_in_{i}" for i, f in enumerate(features)}
+    filled = [f"coalesce(cast({quoted(f)} as double), double('{MISSING!r}')) AS {n}" for f, n in inputs.items()]
+    wide = rows.selectExpr("*", *filled)
+    return VectorAssembler(inputCols=list(inputs.values()), outputCol=out).transform(wide).drop(*inputs.values())
 
 
 def fit_trees(
     train: DataFrame,
     features: Sequence[str],
     target: str,
-    categories: dict[str, int],
     params: TreeParams,
     validation: DataFrame | None = None,
     rounds: int | None = None,
@@ -100,19 +91,19 @@ def fit_trees(
     """Fit boosted trees with squared loss; boosting stops when validation rows no longer gain."""
     shared_folder(train.sparkSession)  # boosting writes checkpoints to cut its lineage
     features = list(features)
-    use = declared(features, categories, params)
     learner = GBTRegressor(
         featuresCol="_features", labelCol=target, predictionCol="_prediction",
         maxIter=rounds or params.rounds, stepSize=params.learning_rate, maxDepth=params.depth, maxBins=params.max_bins,
         minInstancesPerNode=params.min_rows, seed=params.seed, validationTol=params.tolerance,
         maxMemoryInMB=1024, checkpointInterval=10,
     )
-    rows = train.select(*dict.fromkeys([*features, target])).where(F.col(target).isNotNull())
+    wanted = [F.col(quoted(c)) for c in dict.fromkeys([*features, target])]
+    rows = train.select(*wanted).where(F.col(quoted(target)).isNotNull())
     if validation is not None:
-        held = validation.select(*dict.fromkeys([*features, target])).where(F.col(target).isNotNull())
+        held = validation.select(*wanted).where(F.col(quoted(target)).isNotNull())
         rows = rows.withColumn("_held", F.lit(False)).unionByName(held.withColumn("_held", F.lit(True)))
         learner = learner.setValidationIndicatorCol("_held")
-    return Fitted(learner.fit(assemble(rows, features, use)), features, use)
+    return Fitted(learner.fit(assemble(rows, features)), features)
 
 
 def r2_by(fitted: Fitted, rows: DataFrame, target: str, part: str) -> dict[str, float | None]:
@@ -121,19 +112,39 @@ def r2_by(fitted: Fitted, rows: DataFrame, target: str, part: str) -> dict[str,
     return {r[part]: r["r2"] for r in scored.groupBy(part).agg(r2(target, "forecast").alias("r2")).collect()}
 
 
-def fit_poisson(train: DataFrame, features: Sequence[str], target: str) -> Any:
-    """Log-linear count model. Missing inputs become 0 after scaling to unit deviation."""
-    inputs = {f"_in_{f}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features}
-    rows = train.where(F.col(target).isNotNull()).withColumns(inputs)
+@dataclass
+class FittedCounts:
+    """A fitted count model with its inputs and those that missed values in training."""
+
+    model: Any
+    features: list[str]
+    missing: list[str]
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        """Add the prediction as column ``forecast``."""
+        wide, names = _count_inputs(rows, self.features, self.missing)
+        return self.model.transform(wide).drop(*names, "_raw", "_features")
+
+
+def _count_inputs(rows: DataFrame, features: Sequence[str], missing: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    inputs = {f"_in_{i}": f"coalesce(cast({quoted(f)} as double), 0D)" for i, f in enumerate(features)}
+    inputs |= {f"_no_{i}": f"cast({quoted(f)} IS NULL as double)" for i, f in enumerate(features) if f in missing}
+    return rows.selectExpr("*", *[f"{v} AS {n}" for n, v in inputs.items()]), list(inputs)
+
+
+def fit_poisson(train: DataFrame, features: Sequence[str], target: str) -> FittedCounts:
+    """Log-linear count model on inputs scaled to unit deviation.
+
+    A missing input becomes 0, and an input that misses values in training gets a second one that says so.
+    """
+    known = train.where(F.col(quoted(target)).isNotNull())
+    row = known.selectExpr(*[f"bool_or({quoted(f)} IS NULL) AS m{i}" for i, f in enumerate(features)]).first()
+    missing = [f for i, f in enumerate(features) if row[f"m{i}"]]
+    wide, names = _count_inputs(known, features, missing)
     stages = [
-        VectorAssembler(inputCols=list(inputs), outputCol="_raw"),
+        VectorAssembler(inputCols=names, outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="_features"),
         GeneralizedLinearRegression(family="poisson", link="log", featuresCol="_features", labelCol=target,
                                     predictionCol="forecast", maxIter=25, regParam=1e-6),
     ]
-    return Pipeline(stages=stages).fit(rows)
-
-
-def predict_poisson(model: Any, rows: DataFrame, features: Sequence[str]) -> DataFrame:
-    inputs = {f"_in_{f}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features}
-    return model.transform(rows.withColumns(inputs)).drop(*inputs, "_raw", "_features")
+    return FittedCounts(Pipeline(stages=stages).fit(wide), list(features), missing)

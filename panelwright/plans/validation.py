@@ -34,7 +34,6 @@ class Problem:
     rows: DataFrame
     time: str
     target: str
-    categories: dict[str, int]
     bounds: Bounds
     params: TreeParams
     parallelism: int = 4
@@ -54,7 +53,7 @@ def validate(problem: Problem, features: Sequence[str], gap: int = 0) -> Fitted:
     """Fit on the training part less a gap, stop early on the test part, and score both."""
     roles = gap_roles(problem.rows, problem.time, problem.bounds, gap, out="_role")
     train, test = (roles.where(F.col("_role") == r) for r in ("train", "test"))
-    fitted = fit_trees(train, features, problem.target, problem.categories, problem.params, validation=test)
+    fitted = fit_trees(train, features, problem.target, problem.params, validation=test)
     scores = r2_by(fitted, roles, problem.target, "_role")
     fitted.scores = {role: scores.get(role) for role in ("train", "test")}
     return fitted
@@ -75,8 +74,8 @@ def cross_validate(
     def fold_task(number: int, start: int):
         def run() -> tuple[Fitted, DataFrame]:
             test = time_slice(rows, t, start, start + b.tstep)
-            fitted = fit_trees(time_slice(rows, t, upto=start - gap), features, target, problem.categories,
-                               problem.params, validation=test)
+            fitted = fit_trees(time_slice(rows, t, upto=start - gap), features, target, problem.params,
+                               validation=test)
             forecasts = fitted.predict(test.where(F.col(target).isNotNull()), FORECAST)
             return fitted, forecasts.select(F.lit(number).alias("fold"), F.col(target).alias(ACTUAL), FORECAST)
 
@@ -97,7 +96,7 @@ def cross_validate(
     if not back_test:
         known = everything.count()
         rounds = max(1, int(rounds * known / (known - 0.5 * scored["rows"])))
-    final = fit_trees(everything, features, target, problem.categories, problem.params, rounds=rounds)
+    final = fit_trees(everything, features, target, problem.params, rounds=rounds)
     result.rounds, result.importances = rounds, final.importances()
     result.score_train = variance_of(final, everything, target)
     if back_test:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +10,10 @@ from panelwright.operators.rows import time_slice
 from panelwright.operators.splits import Bounds, Holdout, holdout_split
 from panelwright.spec import PanelSpec
 
-# One row per series and month, months 1 to 80 only: no series has more rows than that.
-SPEC = PanelSpec(("center_id", "meal_id"), "week", "id", "num_orders", max_rows=80)
-BOUNDS = Bounds(start=1, train_time=60, test_time=70, end=80)
+# One row per series and month, and lines are shipped in 83 months: no series has more rows than that.
+SPEC = PanelSpec(("center_id", "meal_id"), "week", "id", "num_orders", max_rows=83)
+# The last ten months are the future, the ten before them the back-test; ``bounds`` reads the same from the data.
+BOUNDS = Bounds(start=1, train_time=63, test_time=73, end=83)
 CATEGORICAL = ("center_id", "meal_id", "category", "cuisine", "city_code", "region_code", "center_type")
 PRICES = ("base_price", "checkout_price")
 FLAGS = ("emailer_for_promotion", "homepage_featured")
@@ -32,8 +31,9 @@ MEALS = (
     (5, "Size", "SMALL"),
     (6, "Core", "STANDARD"),
 )
-FIRST_YEAR, LAST_PERIOD = 1995, 80
-AFTER_LAST = datetime(FIRST_YEAR + LAST_PERIOD // 12, LAST_PERIOD % 12 + 1, 1)
+FIRST_YEAR = 1995
+# Larger than any month number and any meal number, so that ids are unique for any number of centers.
+MONTHS, MEAL_NUMBERS = 1000, 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,9 +41,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly panel. The date bound reaches the file scan; the join reads two part columns."""
+    """Monthly panel of all lines; the join reads two part columns."""
     shipped = F.col("l_shipdate")
-    lines = table(spark, sf_dir, "lineitem").where(shipped < F.lit(AFTER_LAST).cast("timestamp_ntz"))
+    lines = table(spark, sf_dir, "lineitem")
     kind = F.lit(6)
     for number, _, p_type in reversed(MEALS[:-1]):
         kind = F.when(F.col("p_type") == p_type, number).otherwise(kind)
@@ -61,7 +61,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("homepage_featured"),
         F.sum("l_quantity").cast("bigint").alias("num_orders"),
     )
-    row_id = (F.col("week").cast("bigint") * 100000 + F.col("center_id")) * 10 + F.col("meal_id")
+    row_id = (F.col("center_id") * MONTHS + F.col("week")) * MEAL_NUMBERS + F.col("meal_id")
     return grouped.select(row_id.cast("bigint").alias("id"), *grouped.columns)
 
 
@@ -84,7 +84,7 @@ def meal_info(spark: SparkSession) -> DataFrame:
 
 
 def split(spark: SparkSession, sf_dir: str) -> Holdout:
-    """History up to month 70, months 71-80 with their target emptied, and the true targets of those months."""
+    """History up to month 73, months 74-83 with their target emptied, and the true targets of those months."""
     return holdout_split(panel(spark, sf_dir), "week", "id", "num_orders", BOUNDS.end, BOUNDS.tstep)
 
 

@@ -2,35 +2,69 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest side that is broadcast. At about 100 bytes a row this is some 20 MB per executor.
-BROADCAST_ROWS = 200_000
+# All sides that one operator marks for broadcast hold at most this many stored bytes together.
+BROADCAST_BYTES = 32 << 20
+# A stored, compressed table takes up to about this many times its size in memory.
+_EXPANSION = 8
+
+#: Folders of tables made inside ``scratch`` blocks, the innermost last; the first list holds all others.
+_OPEN: list[list[str]] = [[]]
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, visible to every executor.
 
-    The session's ``spark.checkpoint.dir`` decides. Only a local session without one gets a folder of its own.
+    The session's ``spark.checkpoint.dir`` decides. Only where it is unset, as in tests, a folder on the session's
+    default file system is used; it is deleted when the session's process ends.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="panelwright-")
     if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"/tmp/panelwright-{context.applicationId}")
+            system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            named = system.makeQualified(path).toString()
+            system.mkdirs(path)
+            system.deleteOnExit(path)
         context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing uses yet."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _OPEN[-1].append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whichever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete every table stored inside the block when it ends; what the block returns must not read them."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            delete(spark, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables stored so far, once no result that reads them is needed any more."""
+    while _OPEN[0]:
+        delete(spark, _OPEN[0].pop())
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
@@ -48,6 +82,27 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sized(small: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``small`` for broadcast when its counted ``rows`` are few; a shuffle join handles it otherwise."""
-    return F.broadcast(small) if rows <= limit else small
+def stored_bytes(stored: DataFrame, part: str = "") -> int:
+    """Bytes of a table that ``materialize`` returned, from the size of its files; ``part`` picks one folder of it."""
+    spark = stored.sparkSession
+    files = [f for f in stored.inputFiles() if f"/{part}/" in f or not part]
+    if not files:
+        return 0
+    top = spark._jvm.org.apache.hadoop.fs.Path(files[0])
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return sum(system.getFileStatus(path(f)).getLen() for f in files)
+
+
+class BroadcastBudget:
+    """Marks sides for broadcast as long as they fit together; a shuffle join handles the others."""
+
+    def __init__(self, limit: int = BROADCAST_BYTES):
+        self.left = limit
+
+    def sized(self, small: DataFrame, size: int) -> DataFrame:
+        """``size``: the stored bytes of ``small``, or a bound on them."""
+        if size * _EXPANSION > self.left:
+            return small
+        self.left -= size * _EXPANSION
+        return F.broadcast(small)

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import itertools
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from panelwright.operators import encoding
 from panelwright.operators.lags import LagSpec
 from panelwright.operators.splits import Bounds
 from panelwright.plans import forecast, models, search, selection, validation
 from panelwright.sources.writers import read_forecasts, write_forecasts
 from panelwright.spec import PanelSpec
-from panelwright.storage import materialize, new_path
+from panelwright.storage import materialize, new_path, shared_folder
 
 GROUPS = [["a"], ["b"], ["c"], ["ab", "a", "b"], ["bc", "b", "c"]]
 
@@ -89,7 +91,7 @@ def planted(spark):
             rows.append((k * 100 + t, k, t, x, k % 3, None if t > 30 else level, level))
     df = spark.createDataFrame(rows, "id long, k int, t int, x int, c long, log_y double, truth double")
     params = models.TreeParams(rounds=15, learning_rate=0.4, depth=4, min_rows=5, tolerance=0.0001)
-    return validation.Problem(materialize(df, "planted"), "t", "log_y", {"c": 3}, BOUNDS, params)
+    return validation.Problem(materialize(df, "planted"), "t", "log_y", BOUNDS, params)
 
 
 SPECS = [LagSpec(-h, -h - 3, min(0, 10 - h), 0.0, ("log_y",), ("x",)) for h in (1, 2)]
@@ -150,7 +152,7 @@ def test_no_forecast_uses_later_targets(spark, planted):
     p = forecast.lag_problem(planted, PANEL, SPECS)
     banks = forecast.fit_horizons(p, SPECS, ["x"])
     changed = planted.rows.withColumn("log_y", F.when(F.col("t") > 20, F.lit(99.0)).otherwise(F.col("log_y")))
-    q = forecast.lag_problem(validation.Problem(changed, "t", "log_y", {"c": 3}, BOUNDS, planted.params), PANEL, SPECS)
+    q = forecast.lag_problem(validation.Problem(changed, "t", "log_y", BOUNDS, planted.params), PANEL, SPECS)
     pick = lambda d: d.where("stage = 'test'").select("id", "log_forecast").orderBy("id").collect()
     assert pick(forecast.forecast_horizons(p, PANEL, banks)) == pick(forecast.forecast_horizons(q, PANEL, banks))
 
@@ -160,6 +162,35 @@ def test_lag_search_keeps_the_start_setting_as_a_candidate(planted):
     assert len(trials) == 2 and {"t_min": -4, "t_max": 0, "power": 0.0} in [t.values for t in trials]
 
 
-def test_categories_too_many_for_a_bin_each_stay_numbers():
-    params = models.TreeParams(max_bins=32)
-    assert models.declared(["a", "b"], {"a": 31, "b": 32, "c": 2}, params) == {"a": 31}
+def test_searches_leave_no_table_behind(spark, planted):
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    search.search_lags(planted, PANEL, SPECS[0], ["x"], 2, 3)
+    search.compare_lags(planted, PANEL, SPECS[0], ["x"], 2)
+    left = {n for n in set(os.listdir(folder)) - before if n.startswith("lags")}
+    assert not left
+
+
+def test_moves_must_beat_the_spread_and_carry_test_scores():
+    noisy = lambda names: selection.Score(worth(names), 2.0)
+    plain = selection.forward_backward(noisy, ["c"], GROUPS)
+    strict = selection.forward_backward(noisy, ["c"], GROUPS, num_stds=10.0)
+    assert plain.steps and not strict.steps and strict.features == ["c"]
+    tested = selection.forward_backward(worth, ["c"], GROUPS, tester=lambda names: float(len(names)))
+    assert tested.test == len(tested.features) and tested.steps[-1].test == tested.test
+    ranking = selection.rank_groups(worth, ["c"], GROUPS, keep=1, tester=lambda names: float(len(names)))
+    assert ranking.tests[0] == 4.0 and len(ranking.tests) == len(GROUPS)
+
+
+def test_one_category_encoding_at_every_size(spark):
+    df = spark.sql("SELECT id, cast(id % 7 as string) AS g, CASE WHEN id < 50 THEN cast(6 - id % 7 as double) END AS y FROM range(70)")
+    coded = encoding.category_dictionary(df, ["g"], "y").orderBy("code").collect()
+    assert [(r["value"], r["code"]) for r in coded] == [(str(6 - k), k) for k in range(7)]
+
+
+def test_count_model_marks_missing_inputs(spark):
+    df = spark.sql("SELECT id, CASE WHEN id % 2 = 0 THEN 1.0D END AS `my x`, CASE WHEN id % 2 = 0 THEN 2 ELSE 8 END AS y FROM range(40)")
+    fitted = models.fit_poisson(df, ["my x"], "y")
+    assert fitted.missing == ["my x"]
+    got = {r["y"]: r["f"] for r in fitted.predict(df).groupBy("y").agg(F.avg("forecast").alias("f")).collect()}
+    assert abs(got[2] - 2) < 0.01 and abs(got[8] - 8) < 0.01

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ from panelwright.functions import columns
 from panelwright.operators import contracts, joins, rows, scoring, splits
 from panelwright.sources import readers, writers
 from panelwright.sources.fixture import panel
-from panelwright.storage import new_path, shared_folder
+from panelwright.storage import materialize, new_path, scratch, shared_folder
 
 
 def values(df):
@@ -134,9 +135,23 @@ def test_csv_needs_a_schema_and_loses_nan(spark):
         readers.read_table(spark, path)
 
 
-def test_date_bound_and_columns_reach_the_scan(spark):
+def test_columns_reach_the_scan(spark):
     plan = panel(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert "LessThan(l_shipdate" in plan and "l_tax" not in plan and "p_name" not in plan
+    assert "l_tax" not in plan and "p_name" not in plan
+
+
+def test_every_month_and_a_unique_id(spark):
+    rows = panel(spark, "/root/testdata/sf0.001")
+    facts = rows.selectExpr("count(*) AS n", "count(DISTINCT id) AS ids", "min(week) AS first", "max(week) AS last").first()
+    assert facts.n == facts.ids and (facts.first, facts.last) == (1, 83)
+
+
+def test_a_gap_split_filters_in_the_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(100).selectExpr("id", "cast(id as int) AS t").write.parquet(path)
+    roles = splits.gap_roles(spark.read.parquet(path), "t", splits.Bounds(1, 50, 60, 70), 3)
+    plan = roles._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(t,47)" in plan and roles.count() == 58
 
 
 class FakeContext:
@@ -157,6 +172,11 @@ class FakeSession:
 
 def test_shared_folder_comes_from_the_session():
     assert shared_folder(FakeSession("spark://x", **{"spark.checkpoint.dir": "/shared"})) == "/shared"
-    with pytest.raises(RuntimeError):
-        shared_folder(FakeSession("spark://x"))
-    assert "panelwright" in shared_folder(FakeSession("local[2]"))
+
+
+def test_scratch_tables_are_deleted(spark):
+    with scratch(spark):
+        kept = materialize(spark.range(5), "block")
+        folder = os.path.dirname(kept.inputFiles()[0].removeprefix("file:").removeprefix("//"))
+        assert kept.count() == 5 and os.path.isdir(folder)
+    assert not os.path.exists(folder)

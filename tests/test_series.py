@@ -59,7 +59,7 @@ def same(got, want, columns):
         np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), rtol=1e-12, err_msg=c)
 
 
-@pytest.mark.parametrize("spec, pieces", [(PLAIN, {}), (CUT, {"piece_periods": 7, "block_rows": 5}), (CUT, {})])
+@pytest.mark.parametrize("spec, pieces", [(PLAIN, {}), (CUT, {"block_rows": 5}), (CUT, {})])
 def test_frames(spark, spec, pieces):
     pdf = panel()
     same(series.add_frames(frame_of(spark, pdf), spec, FRAMES, **pieces), expected(pdf, FRAMES), FRAMES)
@@ -72,7 +72,7 @@ def test_published_shift_then_roll(spark):
         "a": [None, 10, 20, None, 40, 50], "b": [None, None, 10, 15, 15, 30],
         "c": [None, 40, 50, 60, None, None], "d": [None, 40, 45, 50, 55, 60],
     }
-    for spec, pieces in ((PLAIN, {}), (CUT, {"piece_periods": 2, "block_rows": 2})):
+    for spec, pieces in ((PLAIN, {}), (CUT, {"block_rows": 2})):
         rows = series.add_frames(frame_of(spark, pdf), spec, frames, **pieces).orderBy("id").collect()
         assert {n: [r[n] for r in rows] for n in frames} == want
 
@@ -83,13 +83,13 @@ def test_expanding_mean_and_density(spark, spec, piece):
     want = pdf.copy()
     want["m"] = pdf.groupby("k")["y"].transform(lambda y: y.expanding().mean())
     want["d"] = (pdf.groupby("k").cumcount() + 1) / pdf["t"]
-    got = series.expanding_means(frame_of(spark, pdf), spec, {"m": "y"}, piece_periods=piece)
-    same(series.density(got, spec, "d", piece), want, ["m", "d"])
+    got = series.expanding_means(frame_of(spark, pdf), spec, {"m": "y"}, block_rows=piece)
+    same(series.density(got, spec, "d"), want, ["m", "d"])
 
 
 def test_expanding_mean_ends_at_the_series_mean(spark):
     pdf = panel(8)
-    got = series.expanding_means(frame_of(spark, pdf), CUT, {"m": "y"}, piece_periods=11).toPandas().sort_values("t")
+    got = series.expanding_means(frame_of(spark, pdf), CUT, {"m": "y"}, block_rows=11).toPandas().sort_values("t")
     last = got.groupby("k")["m"].last()
     np.testing.assert_allclose(last, pdf.groupby("k")["y"].mean().reindex(last.index))
 
@@ -105,6 +105,32 @@ def test_expanding_by_state(spark):
         same(series.expanding_means_by_state(df, spec, "y", {"by": ("s",), "all": ()}, piece), want, ["all", "by"])
 
 
+NULL_ROWS = [
+    (1, 1, 1.0, 0), (1, 2, 3.0, 1), (1, 3, None, 2), (None, 1, 5.0, 3), (None, 2, 7.0, 4), (1, None, 9.0, 5), (2, 4, 2.0, 6),
+]
+
+
+@pytest.mark.parametrize("spec, blocks", [(PLAIN, {}), (CUT, {"block_rows": 2}), (CUT, {})])
+def test_null_keys_and_periods_give_null(spark, spec, blocks):
+    df = spark.createDataFrame(NULL_ROWS, "k int, t int, y double, id int")
+    wide = series.expanding_means(df, spec, {"m": "y"}, **blocks)
+    wide = series.add_frames(wide, spec, {"before": Frame("y", -1), "two": Frame("y", 0, 2), "next": Frame("y", 1)}, **blocks)
+    wide = series.density(series.row_numbers(wide, spec, "n"), spec, "d")
+    rows = {r["id"]: (r["m"], r["before"], r["two"], r["next"], r["n"], r["d"]) for r in wide.collect()}
+    nothing = (None,) * 6
+    assert rows == {
+        0: (1.0, None, 1.0, 3.0, 1, 1.0), 1: (2.0, 1.0, 2.0, None, 2, 1.0), 2: (2.0, 3.0, 3.0, None, 3, 1.0),
+        3: nothing, 4: nothing, 5: nothing, 6: (2.0, None, 2.0, None, 1, 0.25),
+    }
+
+
+def test_many_rows_of_one_period_are_cut_as_well(spark):
+    pdf = pd.DataFrame({"k": 0, "t": 1, "y": np.arange(50.0), "id": np.arange(50)})
+    want = pdf.assign(m=pdf["y"].expanding().mean(), b=pdf["y"].shift(3))
+    df = series.expanding_means(frame_of(spark, pdf), CUT, {"m": "y"}, block_rows=4)
+    same(series.add_frames(df, CUT, {"b": Frame("y", -3)}, block_rows=4), want, ["m", "b"])
+
+
 def test_rolling_deviation(spark):
     pdf = panel(9)
     want = pdf.copy()
@@ -122,7 +148,7 @@ def test_add_lags_of_several_settings(spark):
         moved = pdf.groupby("k")[f.column].transform(lambda y, f=f: shifted(y, f.step, f.window))
         want[n] = pdf["t"] - moved if f.column == "t" else moved
     same(add_lags(frame_of(spark, pdf), PLAIN, specs, 10), want, names)
-    same(add_lags(frame_of(spark, pdf), CUT, specs, 10, piece_periods=20, block_rows=10), want, names)
+    same(add_lags(frame_of(spark, pdf), CUT, specs, 10, block_rows=10), want, names)
 
 
 def test_one_shuffle_serves_all_frames(spark):
