@@ -2,8 +2,8 @@
 
 The gear hash of the last 16 bytes decides on boundaries, so they move with the text: an insertion changes the chunks
 around it and no others. A chunk starts at a strong boundary (one in ``strong`` bytes on average) and ends at the first
-weak boundary (one in ``weak``) at least ``least`` bytes later, so chunks vary in size and overlap, and a passage of
-twice that size almost surely holds a whole one. A chunk whose digest occurs in two places is a repeat; overlapping
+weak boundary (one in ``weak``) at least ``least`` bytes later and not before the next chunk starts, so chunks vary in
+size, overlap and cover the text, and a passage of twice that size almost surely holds a whole one. A chunk whose digest occurs in two places is a repeat; overlapping
 repeats of a document are joined to passages.
 """
 
@@ -53,8 +53,8 @@ def _boundaries(small: np.ndarray, can: np.ndarray, starts: np.ndarray, ends: np
 def chunks(texts: list[bytes], least: int, strong: int, weak: int) -> tuple[np.ndarray, ...]:
     """Chunks of many texts: text number, start and end in bytes, start and end in characters.
 
-    A text's start counts as a strong boundary and its end as a weak one; a text of fewer than ``least`` bytes has no
-    chunk. Texts lie in one buffer with a gap of dead bytes after each, longer than the hash looks back, so every text is
+    A text's start counts as a strong boundary and its end as a weak one, and one more chunk reaches from the last weak
+    boundary far enough before the end to the end; a text of fewer than ``least`` bytes has no chunk. Texts lie in one buffer with a gap of dead bytes after each, longer than the hash looks back, so every text is
     cut as it would be alone.
     """
     gap = bytes(_WINDOW)
@@ -75,13 +75,18 @@ def chunks(texts: list[bytes], least: int, strong: int, weak: int) -> tuple[np.n
     can[:2] = False
     can[2:] &= h[1:-1] != h[:-2]
     hashed = np.concatenate([[np.uint16(65535)], h[:-1]])
-    begins = np.concatenate([_boundaries(hashed < 65536 // strong, can, starts, ends), starts])
-    stops = np.concatenate([_boundaries(hashed < 65536 // weak, can, starts, ends), ends])
-    begins, stops = np.unique(begins), np.unique(stops)
+    weaks = _boundaries(hashed < 65536 // weak, can, starts, ends)
+    stops = np.unique(np.concatenate([weaks, ends]))
+    opens = np.unique(np.concatenate([weaks, starts]))
+    last = opens[np.searchsorted(opens, (ends - least)[sizes >= least], side="right") - 1]
+    begins = np.unique(np.concatenate([_boundaries(hashed < 65536 // strong, can, starts, ends), starts, last]))
     owner = np.searchsorted(starts, begins, side="right") - 1
     long = begins + least <= ends[owner]
     begins, owner = begins[long], owner[long]
-    stops = stops[np.searchsorted(stops, begins + least)]
+    following = np.zeros_like(begins)  # the next chunk of the same text, 0 for the last one
+    following[:-1] = np.where(owner[1:] == owner[:-1], begins[1:], 0)
+    stops = stops[np.searchsorted(stops, np.maximum(begins + least, following))]
+    stops[following == 0] = ends[owner[following == 0]]
     first = starts[owner]
     return owner, begins - first, stops - first, before[begins] - before[first], before[stops] - before[first]
 
