@@ -148,7 +148,9 @@ def _named(kind: str):
 def examples(candidates: DataFrame, most: int) -> DataFrame:
     """At most ``most`` positive and ``most`` negative labelled spans, those with the smallest hashes.
 
-    Positives are sure spans written the way the generators see them; negatives are proposals beside no sure span.
+    Positives are sure spans written the way the generators see them. Negatives are proposals that no sure span
+    supports, but for those in the shape of a positive, which may well be personal data; a number as long as a card's
+    that fails the check digit is a negative in any shape.
     """
     value = F.col("value")
     local = F.regexp_replace(value, r"^\+[0-9]{1,2}[\x20.-]*", "")
@@ -169,11 +171,18 @@ def examples(candidates: DataFrame, most: int) -> DataFrame:
     sure = sure.select(F.col("w.as").alias("kind"), F.col("w.v").alias("value"), "before", "after", F.lit(1.0).alias("label"))
     free = _exploded(candidates, list(PROPOSED)).select("kind", "value", "before", "after", F.lit(0.0).alias("label"))
     seen = ["kind", "value", "before", "after"]
-    chosen = []
-    for rows in (sure, free):
-        hashed = rows.withColumn("h", F.xxhash64(*seen))
-        chosen.append(hashed.orderBy("h", *seen).limit(most))
-    return chosen[0].unionByName(chosen[1])
+
+    def smallest(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("h", F.xxhash64(*seen)).orderBy("h", *seen).limit(most)
+
+    positive = materialize(smallest(sure), "positives")  # at most ``most`` rows
+    shape = F.regexp_replace(F.regexp_replace(value, "[0-9]", "9"), r"[A-Za-z_%+-]+", "a")
+    shapes = positive.select("kind", shape.alias("_shape")).distinct()
+    broken = F.length(digits_of(value)).between(12, 19) & ~passes_luhn(digits_of(value))
+    unlike = free.withColumns({"_shape": shape, "_broken": broken}).alias("f")
+    same = (F.col("f.kind") == F.col("s.kind")) & (F.col("f._shape") == F.col("s._shape")) & ~F.col("f._broken")
+    negative = unlike.join(shapes.alias("s"), same, "left_anti").drop("_shape", "_broken")
+    return positive.unionByName(smallest(negative))
 
 
 def learn(
