@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from catalog.base import query
 from panelwright.functions.columns import lattice_index, lattice_value, on_lattice
-from panelwright.operators import contracts, encoding, joins, profile, rows, scoring, splits
+from panelwright.operators import contracts, encoding, joins, profile, rows, scoring, series, splits
 from panelwright.operators.ordering import row_ranks
 from panelwright.sources import fixture, readers, writers
-from panelwright.storage import new_path
+from panelwright.spec import PanelSpec
+from panelwright.storage import materialize, new_path
 
 SPEC, BOUNDS = fixture.SPEC, fixture.BOUNDS
 KEYS = list(SPEC.keys)
@@ -34,6 +35,57 @@ def scan_dims(spark, sf_dir) -> DataFrame:
     return left.unionByName(right)
 
 
+@query("dimension_files", "enriched", sql="SELECT * REPLACE (CAST(city_code AS BIGINT) AS city_code, CAST(region_code AS BIGINT) AS region_code) FROM enriched")
+def dimension_files(spark, sf_dir) -> DataFrame:
+    """Write both dimensions as files, read them by their key map, and join them to the facts."""
+    paths = {key: f"{new_path(spark, 'dimension')}.csv" for key in ("center_id", "meal_id")}
+    writers.write_csv(fixture.center_info(spark, sf_dir), paths["center_id"])
+    writers.write_csv(fixture.meal_info(spark), paths["meal_id"])
+    dims = readers.read_dimensions(
+        spark, {"center_id": (paths["center_id"], readers.CENTER_SCHEMA), "meal_id": (paths["meal_id"], readers.MEAL_SCHEMA)}
+    )
+    return joins.enrich(fixture.panel(spark, sf_dir), dims)
+
+
+@query("submission_files", "baseline", sql="""
+SELECT CAST(row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR))) AS BIGINT) AS place, id, CAST(round_even(forecast, 0) AS BIGINT) AS num_orders
+FROM baseline""")
+def submission_files(spark, sf_dir) -> DataFrame:
+    """Read facts and a template in its own order from files, and write the submission in the template's row order."""
+    root = new_path(spark, "files")
+    parts = fixture.split(spark, sf_dir)
+    writers.write_csv(parts.history.select(*[c.split()[0] for c in readers.FACT_SCHEMA.split(", ")]), f"{root}/history.csv")
+    writers.write_csv(parts.future.select(*[c.split()[0] for c in readers.FUTURE_SCHEMA.split(", ")]), f"{root}/future.csv")
+    writers.write_csv(parts.truth.orderBy(F.md5(F.col("id").cast("string"))).coalesce(1), f"{root}/template.csv")
+    history = readers.read_table(spark, f"{root}/history.csv", readers.FACT_SCHEMA)
+    future = readers.read_table(spark, f"{root}/future.csv", readers.FUTURE_SCHEMA)
+    template = materialize(readers.read_ordered(spark, f"{root}/template.csv", readers.TEMPLATE_SCHEMA), "template")
+    forecasts = scoring.mean_baseline(history, future, KEYS, SPEC.target).withColumnRenamed(scoring.FORECAST, SPEC.target)
+    wanted = rows.empty_result(template, SPEC.target)
+    forecasts = forecasts.select(SPEC.id, SPEC.target)
+    writers.write_submission(wanted, forecasts.join(wanted.select(SPEC.id), SPEC.id), SPEC.id, SPEC.target, ["_row"], f"{root}/submission.csv")
+    written = readers.read_ordered(spark, f"{root}/submission.csv", readers.TEMPLATE_SCHEMA)
+    return row_ranks(written, ["_row"], "place").select("place", SPEC.id, SPEC.target)
+
+
+@query("series_without_keys", "panel", sql="""
+SELECT id, CASE WHEN k IS NOT NULL AND week % 7 <> 0 THEN round(avg(num_orders) OVER (PARTITION BY way, k, week % 7 = 0 ORDER BY week, id ROWS UNBOUNDED PRECEDING), 8) END AS mean_so_far,
+       CASE WHEN k IS NOT NULL AND week % 7 <> 0 THEN CAST(lag(num_orders) OVER (PARTITION BY way, k, week % 7 = 0 ORDER BY week, id) AS DOUBLE) END AS before, way
+FROM (SELECT *, CASE WHEN center_id % 5 <> 0 THEN center_id END AS k FROM panel) CROSS JOIN (VALUES ('bounded'), ('cut')) w(way)""")
+def series_without_keys(spark, sf_dir) -> DataFrame:
+    """Series windows over rows that miss keys or periods, by both ways of handling a series."""
+    holes = fixture.panel(spark, sf_dir).selectExpr(
+        "id", "nullif(center_id, center_id DIV 5 * 5) AS k", "CASE WHEN week % 7 <> 0 THEN week END AS t", "num_orders"
+    )
+    found = []
+    for way, most in (("bounded", 1000), ("cut", None)):
+        spec = PanelSpec(("k",), "t", "id", "num_orders", max_rows=most)
+        wide = series.expanding_means(holes, spec, {"mean_so_far": "num_orders"}, block_rows=50)
+        wide = series.add_frames(wide, spec, {"before": series.Frame("num_orders", -1)}, block_rows=50)
+        found.append(wide.select("id", F.round("mean_so_far", 8).alias("mean_so_far"), "before", F.lit(way).alias("way")))
+    return found[0].unionByName(found[1])
+
+
 @query("holdout_split", "history", "future", "truth", sql="""
 SELECT 'history' AS part, week, CAST(count(*) AS BIGINT) AS row_count, CAST(count(num_orders) AS BIGINT) AS targets,
        CAST(sum(num_orders) AS BIGINT) AS total FROM history GROUP BY week

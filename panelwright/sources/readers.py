@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions.columns import nan_to_null
@@ -31,6 +32,14 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None
     return nan_to_null(table)
 
 
+def read_ordered(spark: SparkSession, path: str, schema: str | T.StructType, out: str = "_row") -> DataFrame:
+    """Read a file and number its rows in file order as ``out``; numbers grow along the file but may have gaps.
+
+    The numbers come from the read itself. Store the result before using it twice.
+    """
+    return read_table(spark, path, schema).withColumn(out, F.monotonically_increasing_id())
+
+
 def read_dimensions(spark: SparkSession, files: dict[str, tuple[str, str | None]]) -> dict[str, DataFrame]:
     """Read every dimension; ``files`` maps join key to (path, schema)."""
     return {key: read_table(spark, path, schema) for key, (path, schema) in files.items()}
