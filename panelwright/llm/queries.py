@@ -50,7 +50,30 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-@query("op6_repetition_rules")
+_REPETITION = r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+lines AS (SELECT doc_id, [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls FROM w),
+p AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM w),
+g AS (
+  SELECT doc_id, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o AS g
+  FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT * FROM (SELECT doc_id, i, g, count(*) OVER (PARTITION BY doc_id, g) AS k FROM g WHERE g IS NOT NULL) WHERE k > 1),
+c AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM r, range(5) x(o) GROUP BY doc_id),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS d FROM r a JOIN r b ON a.doc_id = b.doc_id AND a.g = b.g AND a.i < b.i),
+runs AS (SELECT doc_id, d, count(*) + 4 AS n FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS run FROM pairs)
+         GROUP BY doc_id, d, run),
+l AS (SELECT doc_id, max(n) AS n FROM runs GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(l.n, 0) AS BIGINT) AS longest_repeat
+  FROM w JOIN lines USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN l USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND longest_repeat <= 100 AS kept FROM m"""
+
+
+@query("op6_repetition_rules", _REPETITION)
 def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts, repetition and verdict of every document."""
     from panelwright.llm.repetition import repetition
