@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from panelwright.llm.common import mix64, text_of
 from panelwright.llm.tokens import in_slices
 
-CHUNKS = "doc_id bigint, start int, end int, digest bigint, more int"
+CHUNKS = "doc_id bigint, start int, end int, digest bigint, more int, again boolean"
 _WINDOW = 16
 #: Longest stretch without a boundary; beyond it one is set, counted from the last.
 _MOST = 512
@@ -92,7 +92,10 @@ def chunks(texts: list[bytes], least: int, strong: int, weak: int) -> tuple[np.n
 
 
 def chunk_documents(documents: DataFrame, least: int = 96, strong: int = 32, weak: int = 8) -> DataFrame:
-    """Chunks of every whole text: doc_id, start and end in characters, and 96 bits of digest (digest, more)."""
+    """Chunks of every whole text: doc_id, start and end in characters, and 95 bits of digest (digest, more).
+
+    ``again`` marks a chunk that the same text holds before.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -105,30 +108,38 @@ def chunk_documents(documents: DataFrame, least: int = 96, strong: int = 32, wea
                 data = [t.encode("utf-8", "surrogatepass") for t in texts[lo:hi]]
                 owner, begins, stops, start, end = chunks(data, least, strong, weak)
                 rows = [digest(data[o][b:e]) for o, b, e in zip(owner.tolist(), begins.tolist(), stops.tolist(), strict=True)]
+                seen: set[tuple[int, int]] = set()
+                again = []
+                for key in zip(owner.tolist(), rows, strict=True):
+                    again.append(key in seen)
+                    seen.add(key)
                 columns = [
                     ids.slice(lo, hi - lo).take(pa.array(owner)),
                     pa.array(start.astype(np.int32)),
                     pa.array(end.astype(np.int32)),
                     pa.array(np.array([r & low for r in rows], np.uint64).view(np.int64)),
                     pa.array(np.array([(r >> 64) & high for r in rows], np.int32)),
+                    pa.array(again, pa.bool_()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "end", "digest", "more"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "end", "digest", "more", "again"])
 
     slim = documents.select(F.col("doc_id").cast("bigint"), text_of())
     return slim.mapInArrow(cut, CHUNKS)
 
 
 def repeated_chunks(chunked: DataFrame) -> DataFrame:
-    """Chunks that occur earlier: doc_id, start, end and the document of the first occurrence, first_doc_id.
+    """Chunks that occur earlier: doc_id, start, end and the smallest document that holds them, first_doc_id.
 
-    The first occurrence is that with the smallest doc_id (null last) and start; it is kept and not returned. Rows that
-    repeat an id and start are one occurrence.
+    A chunk is kept in its smallest document (null counts as the largest) at its first place there, and returned
+    everywhere else. Rows that share an id count as one document.
     """
-    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start")
-    ends = chunked.groupBy("digest", "more").agg(F.min(key).alias("first"), F.max(key).alias("last"))
-    ends = ends.filter("first <> last").select("digest", "more", "first")
-    joined = chunked.join(ends, ["digest", "more"]).filter(key != F.col("first"))
-    return joined.select("doc_id", "start", "end", F.col("first.doc_id").alias("first_doc_id"))
+    docs = chunked.groupBy("digest", "more").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.bool_or("again").alias("twice"),
+        F.bool_or(F.col("doc_id").isNull()).alias("unnamed"),
+    )
+    several = docs.filter("first <> last OR twice OR (unnamed AND first IS NOT NULL)").select("digest", "more", "first")
+    joined = chunked.join(several, ["digest", "more"]).filter("again OR NOT (doc_id <=> first)")
+    return joined.select("doc_id", "start", "end", F.col("first").alias("first_doc_id"))
 
 
 def repeated_passages(documents: DataFrame, least: int = 96, strong: int = 32, weak: int = 8) -> DataFrame:
