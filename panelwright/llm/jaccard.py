@@ -29,7 +29,7 @@ from panelwright.storage import materialize
 SHINGLE = 5
 #: A link needs 100 x intersection >= PERCENT x union.
 PERCENT = 75
-_CHUNK_TOKENS = 1 << 20
+_CHUNK_TOKENS = 1 << 19
 _BITS = 40  # of a hash that the first pass compares, besides those that deal it out
 _FIRST = "pid int, doc_id bigint, hash bigint, n int, set_a bigint, set_b bigint, payload binary"
 _COUNTED = "doc_id bigint, hash bigint, n int, set_a bigint, set_b bigint, shared bigint"
@@ -161,7 +161,7 @@ def count_shared(documents: DataFrame, percent: int) -> DataFrame:
     spark = documents.sparkSession
     slim = documents.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
     total = slim.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    parts = partitions_for(spark, total, 16 << 20)
+    parts = partitions_for(spark, total, 8 << 20)
     pids = 4 * parts
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
