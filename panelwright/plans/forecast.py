@@ -50,15 +50,18 @@ def fit_bank(problem: Problem, spec: LagSpec | None, features: Sequence[str], fu
 
     The back-test takes its rounds from a validation one forecast length earlier, so its errors are not those that
     stopped its own boosting. Refits see more periods than the validated model, so their rounds grow in proportion.
+    Where no period is left to train such a validation on, boosting runs all its rounds.
     """
     t, gap = problem.time, spec.gap if spec else 0
     parts = {"test": earlier(problem)} | ({"final": problem} if future else {})
 
     def fit(part: Problem) -> Fitted:
-        checked = validate(part, features, gap)
-        upto = part.bounds.test_time
-        rounds = max(1, int(checked.rounds * upto / max(1, part.bounds.train_time - gap)))
+        upto, seen = part.bounds.test_time, part.bounds.train_time - gap
         train = time_slice(problem.rows, t, upto=upto)
+        if seen < part.bounds.start:
+            return fit_trees(train, features, problem.target, problem.params)
+        checked = validate(part, features, gap)
+        rounds = max(1, int(checked.rounds * upto / seen))
         fitted = fit_trees(train, features, problem.target, problem.params, rounds=rounds)
         fitted.scores = checked.scores
         return fitted
