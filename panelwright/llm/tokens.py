@@ -54,7 +54,7 @@ class WordEncoder:
     words; when it is reached the memory starts anew, results do not change.
     """
 
-    def __init__(self, vocabulary: str, max_words: int = 1_500_000):
+    def __init__(self, vocabulary: str, max_words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -165,7 +165,7 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())
 
 
-def in_slices(texts: list[str], chars: int = 2_000_000):
+def in_slices(texts: list[str], chars: int = 1_000_000):
     """Ranges of rows with at most ``chars`` characters each (one row may exceed it), to bound memory."""
     first, size = 0, 0
     for i, text in enumerate(texts):
