@@ -25,7 +25,7 @@ SPEC, BOUNDS = fixture.SPEC, fixture.BOUNDS
 KEYS = list(SPEC.keys)
 #: Parameters of the registered runs: boosting settings, folds and trials. Rows, horizons, groups and known columns are complete.
 PARAMS = models.TreeParams(rounds=10, learning_rate=0.2, depth=4)
-QUICK = models.TreeParams(rounds=2, learning_rate=0.5, depth=3)
+QUICK = models.TreeParams(rounds=2, learning_rate=0.5, depth=2)
 FOLDS, SEARCH_FOLDS, TRIALS = 5, 2, 2
 START = ["center_id", "meal_id", "checkout_price", "base_price", "emailer_for_promotion", "homepage_featured", "op_area"]
 KNOWN = (
@@ -48,7 +48,7 @@ def problem(spark, sf_dir, params=PARAMS) -> validation.Problem:
     dims = {"center_id": fixture.center_info(spark, sf_dir), "meal_id": fixture.meal_info(spark)}
     built = frames.training_frame(fixture.with_future(spark, sf_dir), dims, SPEC, fixture.CATEGORICAL, fixture.PRICES,
                                   fixture.FLAGS, order_upto=ORDER_UPTO)
-    return validation.Problem(built.rows, SPEC.time, built.log_target, BOUNDS, params)
+    return validation.Problem(built.rows, SPEC.time, built.log_target, BOUNDS, params, parallelism=8)
 
 
 def lag_problem(spark, sf_dir, params=QUICK) -> validation.Problem:
@@ -108,7 +108,7 @@ def feature_importance(spark, sf_dir) -> DataFrame:
                   top=[f in top for f in ranked], group_importance=[scores.get(f) for f in ranked])
 
 
-def _scorer(p: validation.Problem, nfold: int = FOLDS):
+def _scorer(p: validation.Problem, nfold: int = SEARCH_FOLDS):
     p = replace(p, parallelism=1)
 
     def score(names: list[str]) -> selection.Score:
@@ -162,7 +162,7 @@ def param_search(spark, sf_dir) -> DataFrame:
 def lag_search(spark, sf_dir) -> DataFrame:
     p = lag_problem(spark, sf_dir)
     first = LagSpec(-1, -6, 0, 0.46, ("log_num_orders",), KNOWN, tuple(STATS))
-    found = search.search_horizons(p, SPEC, first, HORIZONS, ["checkout_price", "homepage_featured"], SEARCH_FOLDS, TRIALS)
+    found = search.search_horizons(p, SPEC, first, HORIZONS, ["checkout_price", "homepage_featured"], SEARCH_FOLDS, TRIALS, select=(1,))
     return report(
         spark, horizon=[s.horizon for s, _ in found], t_min=[s.t_min for s, _ in found], t_max=[s.t_max for s, _ in found],
         power=[s.power for s, _ in found], known=[" ".join(s.known) for s, _ in found], score=[v for _, v in found],
