@@ -32,7 +32,7 @@ PERCENT = 75
 _CHUNK_TOKENS = 1 << 19
 _BITS = 40  # of a hash that the first pass compares, besides those that deal it out
 _FIRST = "pid int, doc_id bigint, hash bigint, n int, set_a bigint, set_b bigint, payload binary"
-_COUNTED = "doc_id bigint, hash bigint, n int, set_a bigint, set_b bigint, shared bigint"
+_COUNTED = "doc_id bigint, hash bigint, n int, set_a bigint, set_b bigint, pid int, payload binary"
 
 
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
@@ -157,7 +157,7 @@ def _shared_in_range(payloads: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.
 
 
 def count_shared(documents: DataFrame, percent: int) -> DataFrame:
-    """One row per document (with its set) and rows (set_a, shared) that add up to the shared hashes of a set."""
+    """One row per document (with its set), and payloads of counts of shared hashes, which ``shared_counts`` adds up."""
     spark = documents.sparkSession
     slim = documents.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
     total = slim.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
@@ -208,19 +208,43 @@ def count_shared(documents: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             is_set = batch.column(6).is_null()
             rows = batch.filter(is_set)
-            columns = [rows.column(i) for i in range(1, 6)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(rows.num_rows, pa.int64())], names=names)
+            nothing = [pa.nulls(rows.num_rows, pa.int32()), pa.nulls(rows.num_rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in range(1, 6)), *nothing], names=names)
             dealt = batch.filter(pa.compute.invert(is_set))
             payloads += zip(dealt.column(0).to_pylist(), dealt.column(6).to_pylist(), strict=True)
         found, shared = _shared_in_range(payloads)
-        empty = pa.nulls(len(found), pa.int64())
-        columns = [empty, empty, pa.nulls(len(found), pa.int32()), pa.array(found), empty, pa.array(shared)]
+        owner = found % pids
+        order = np.argsort(owner, kind="stable")
+        found, shared, owner = found[order], shared[order], owner[order]
+        edges = np.searchsorted(owner, np.arange(pids + 1))
+        places = np.flatnonzero(np.diff(edges))
+        none = np.empty(0, np.uint64)
+        packed = [_pack(1, found[edges[p] : edges[p + 1]], shared[edges[p] : edges[p + 1]], none) for p in places]
+        empty, short = pa.nulls(len(packed), pa.int64()), pa.nulls(len(packed), pa.int32())
+        columns = [empty, empty, short, empty, empty, pa.array(places.astype(np.int32)), pa.array(packed, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
     hashed = slim.select("doc_id", "text", F.xxhash64("text").alias("hash"))
     return hashed.mapInArrow(sets, _FIRST).repartition(parts, "pid").mapInArrow(count, _COUNTED)
 
 
+def shared_counts(counted: DataFrame) -> DataFrame:
+    """(set_a, shared) from the payloads of ``count_shared``, which should be stored."""
+    spark = counted.sparkSession
+    payloads = counted.filter("payload IS NOT NULL").select("pid", "payload")
+    size = payloads.agg(F.sum(F.octet_length("payload").cast("bigint"))).first()[0] or 0
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [_unpack(data)[1:3] for batch in batches for data in batch.column(1).to_pylist()]
+        if parts:
+            names, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            shared = np.bincount(at, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(shared)], names=["set_a", "shared"])
+
+    dealt = payloads.repartition(partitions_for(spark, size, 4 << 20), "pid")
+    return dealt.mapInArrow(add, "set_a bigint, shared bigint")
+
+
 class SignatureTree:
     """Sets in order of size below nodes that hold bitmap unions, size ranges and the most tokens beyond their bits."""
 
@@ -462,8 +486,8 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     and judged by their text; null ids take part in links, but a component_id is null only where no id is known.
     """
     counted = materialize(count_shared(documents, percent), "counted")
-    rows = counted.filter("shared IS NULL")
-    shared = counted.filter("shared IS NOT NULL").groupBy("set_a").agg(F.sum("shared").alias("shared"))
+    rows = counted.filter("payload IS NULL")
+    shared = shared_counts(counted)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first")
     sets = materialize(rows.filter("n > 0").groupBy("set_a", "set_b", "n").agg(first), "set-table")
     members = candidate_sets(documents, sets, shared, percent)

@@ -163,8 +163,7 @@ def test_a_large_cluster_is_joined_by_blocks(spark):
         rows.append((i, " ".join(words)))
     sets = spark.createDataFrame(rows, "doc_id bigint, text string")
     counted = materialize(jaccard.count_shared(sets, 75), "counted")
-    plain = counted.filter("shared IS NULL")
-    shared = counted.filter("shared IS NOT NULL").groupBy("set_a").agg(F.sum("shared").alias("shared"))
+    plain, shared = counted.filter("payload IS NULL"), jaccard.shared_counts(counted)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first")
     members = jaccard.candidate_sets(sets, plain.groupBy("set_a", "set_b", "n").agg(first), shared, 75)
     clusters = jaccard.candidate_clusters(members, 75)
