@@ -2,9 +2,11 @@
 
 Mail and network addresses, card numbers and phone numbers are reported by their form alone. Generators of high recall
 propose further spans, which overlap freely: veiled mail addresses, runs of digits, account numbers, long network
-addresses. Boosted trees judge them by the format of the span and the words beside it. They learn from the corpus
-itself: sure spans rewritten into the generators' formats against proposals that no sure span supports. Held-out rows
-set a threshold per generator. Only DataFrame and ML pipeline operations are used.
+addresses. Account numbers and network addresses bear their own evidence: an IBAN has the length of its country and a
+check number, an IPv6 address has valid groups; one that holds is reported in any case. Boosted trees judge the others
+by the format of the span and the words beside it. They learn from the corpus itself: sure spans rewritten into the
+generators' formats and proven proposals against proposals that nothing supports. Held-out rows set a threshold per
+generator. Only DataFrame and ML pipeline operations are used.
 """
 
 from __future__ import annotations
@@ -37,8 +39,18 @@ PROPOSED = {
     "contact": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+" + _AT + r"[A-Za-z0-9-]{1,63}+(?:" + _DOT + r"[A-Za-z0-9-]{1,63}+){1,5}+",
     "number": r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,}+",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3}+)?",
-    "network": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}+[0-9A-Fa-f]{1,4}",
+    "network": r"(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){3,7}+[0-9A-Fa-f]{1,4}"
+    r"|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+)",
 }
+#: Length of an IBAN by country.
+_IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: Kinds whose proposals are proven or disproven by themselves.
+PROVABLE = ("account", "network")
 _NEEDS = {"email": ("@",), "ip": (".",), "phone": ("+",), "contact": ("@", "at]", "at)", "at}", " at "), "network": (":",)}
 CONTEXT = 24
 KEYS = ["doc_id", "_hash", "_chars"]
@@ -61,6 +73,55 @@ def passes_luhn(digits: Column) -> Column:
     return (F.length(digits) > 0) & (total % 10 == 0)
 
 
+def is_iban(value: Column) -> Column:
+    """Whether a value of capitals, digits and spaces has the length of its country and a valid check number."""
+    compact = F.regexp_replace(value, " ", "")
+    size = F.element_at(_iban_sizes(), F.left(compact, F.lit(2)))
+    turned = F.concat(F.substring(compact, F.lit(5), F.length(compact)), F.left(compact, F.lit(4)))
+
+    def step(rest: Column, c: Column) -> Column:
+        digit = c.try_cast("int")
+        return F.when(digit.isNotNull(), (rest * 10 + digit) % 97).otherwise((rest * 100 + F.ascii(c) - 55) % 97)
+
+    rest = F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), step)
+    return F.coalesce((F.length(compact) == size) & (rest == 1), F.lit(False))
+
+
+def _iban_sizes() -> Column:
+    return F.create_map(*[F.lit(x) for n, names in _IBAN.items() for c in names.split() for x in (c, n)])
+
+
+def is_ipv6(value: Column) -> Column:
+    """Whether groups of up to four hex digits make an address: eight, or fewer around one double colon.
+
+    Words of code such as ``a::b`` are short: with a double colon, the first group needs three digits or three groups
+    must be written, and one decimal digit must be among them.
+    """
+    groups = F.size(F.filter(F.split(value, ":"), lambda g: g != ""))
+    short = value.contains("::") & (groups <= 7) & value.rlike("[0-9]")
+    return (~value.contains("::") & (groups == 8)) | (short & ((groups >= 3) | value.rlike("^[0-9A-Fa-f]{3}")))
+
+
+def _proven(kind: Column, value: Column, after: Column) -> Column:
+    """Whether a proposal shows by itself that it is an account number or a network address."""
+    whole = ~after.rlike("^[0-9A-Za-z]")
+    account = (kind == "account") & whole & is_iban(value)
+    return account | ((kind == "network") & whole & ~after.rlike("^::?[0-9A-Fa-f]") & is_ipv6(value))
+
+
+def _cut(s: Column) -> Column:
+    """An account proposal without the words after a valid IBAN that look like more groups of it."""
+    size = F.element_at(_iban_sizes(), F.left(s["value"], F.lit(2)))
+    form = F.concat(F.lit("^(?:[A-Z0-9] ?){"), (size - 1).cast("string"), F.lit("}[A-Z0-9](?= )"))
+    head = F.when(size.isNotNull(), F.call_function("regexp_extract", s["value"], form, F.lit(0)))
+    end = s["start"] + F.length(head)
+    after = F.left(F.concat(F.substring(s["value"], F.length(head) + 1, F.length(s["value"])), s["after"]), F.lit(CONTEXT))
+    cut = F.struct(
+        s["start"].alias("start"), end.alias("end"), head.alias("value"), s["before"].alias("before"), after.alias("after")
+    )
+    return F.when((F.length(head) > 0) & is_iban(head), cut).otherwise(s)
+
+
 def _sure(kind: str, spans: Column) -> Column:
     def between(least: int, most: int):
         return lambda s: F.length(digits_of(s["value"])).between(least, most)
@@ -79,14 +140,23 @@ def _sure(kind: str, spans: Column) -> Column:
 def find_candidates(documents: DataFrame) -> DataFrame:
     """Sure and proposed spans of every document as arrays, with keys that tell different texts apart; no text.
 
-    Proposals that overlap a sure span are left out.
+    Proposals that overlap a sure span are left out, but for a valid IBAN, whose digits can look like a card's.
     """
     slim = documents.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
     slim = slim.withColumns({"_hash": F.xxhash64("text"), "_chars": F.length("text")})
     found = with_spans(slim, "text", BASE | PROPOSED, CONTEXT, _NEEDS).drop("text")
     found = found.withColumns({k: _sure(k, F.col(k)) for k in BASE})
     sure = F.concat(*[F.transform(k, lambda s: F.struct(s["start"], s["end"])) for k in BASE])
-    free = {k: F.filter(k, lambda s: ~F.exists(F.col("_sure"), lambda b: overlaps(s, b))) for k in PROPOSED}
+    found = found.withColumn("account", F.transform("account", _cut))
+
+    def free_of(kind: str):
+        def free(s: Column) -> Column:
+            apart = ~F.exists(F.col("_sure"), lambda b: overlaps(s, b))
+            return apart | _proven(F.lit(kind), s["value"], s["after"]) if kind in PROVABLE else apart
+
+        return free
+
+    free = {k: F.filter(k, free_of(k)) for k in PROPOSED}
     return found.withColumn("_sure", sure).withColumns(free).drop("_sure")
 
 
@@ -117,6 +187,7 @@ def _features() -> dict[str, Column]:
         "words": F.size(F.filter(F.split(value, "[^A-Za-z]+"), lambda g: g != "")),
         "veiled": value.rlike(r"[\[({]at[\])}]|[\[({]dot[\])}]|\x20dot\x20"),
         "luhn": passes_luhn(digits),
+        "proven": _proven(F.col("kind"), value, F.col("after")),
         "says_phone": before.rlike("phone|tel|call|mobile|cell|fax|dial"),
         "says_mail": before.rlike("mail|contact|write|reach"),
         "says_card": before.rlike("card|visa|account|iban|bank|passport|ssn|social"),
@@ -130,7 +201,7 @@ def _features() -> dict[str, Column]:
 
 NAMES = [
     "chars", "digits", "groups", "longest", "shortest", "spaces", "points", "dashes", "brackets", "slashes", "signs",
-    "capitals", "letters", "words", "veiled", "luhn", "says_phone", "says_mail", "says_card", "says_other",
+    "capitals", "letters", "words", "veiled", "luhn", "proven", "says_phone", "says_mail", "says_card", "says_other",
     "money_before", "joined_after", *[f"is_{k}" for k in PROPOSED],
 ]
 
@@ -148,9 +219,10 @@ def _named(kind: str):
 def examples(candidates: DataFrame, most: int) -> DataFrame:
     """At most ``most`` positive and ``most`` negative labelled spans, those with the smallest hashes.
 
-    Positives are sure spans written the way the generators see them. Negatives are proposals that no sure span
-    supports, but for those in the shape of a positive, which may well be personal data; a number as long as a card's
-    that fails the check digit is a negative in any shape.
+    Positives are sure spans written the way the generators see them, and account numbers and network addresses that
+    are proven by themselves. Negatives are proposals that nothing supports, but for those in the shape of a positive,
+    which may well be personal data; a number as long as a card's that fails the check digit, an account number and a
+    network address that fail are negatives in any shape.
     """
     value = F.col("value")
     local = F.regexp_replace(value, r"^\+[0-9]{1,2}[\x20.-]*", "")
@@ -169,7 +241,11 @@ def examples(candidates: DataFrame, most: int) -> DataFrame:
     )
     sure = _exploded(candidates, list(BASE)).withColumn("w", F.explode(written_as))
     sure = sure.select(F.col("w.as").alias("kind"), F.col("w.v").alias("value"), "before", "after", F.lit(1.0).alias("label"))
-    free = _exploded(candidates, list(PROPOSED)).select("kind", "value", "before", "after", F.lit(0.0).alias("label"))
+    free = _exploded(candidates, list(PROPOSED)).select(
+        "kind", "value", "before", "after", _proven(F.col("kind"), value, F.col("after")).cast("double").alias("label")
+    )
+    sure = sure.unionByName(free.filter("label = 1"))
+    free = free.filter("label = 0")
     seen = ["kind", "value", "before", "after"]
 
     def smallest(rows: DataFrame) -> DataFrame:
@@ -178,7 +254,7 @@ def examples(candidates: DataFrame, most: int) -> DataFrame:
     positive = materialize(smallest(sure), "positives")  # at most ``most`` rows
     shape = F.regexp_replace(F.regexp_replace(value, "[0-9]", "9"), r"[A-Za-z_%+-]+", "a")
     shapes = positive.select("kind", shape.alias("_shape")).distinct()
-    broken = F.length(digits_of(value)).between(12, 19) & ~passes_luhn(digits_of(value))
+    broken = F.length(digits_of(value)).between(12, 19) & ~passes_luhn(digits_of(value)) | F.col("kind").isin(*PROVABLE)
     unlike = free.withColumns({"_shape": shape, "_broken": broken}).alias("f")
     same = (F.col("f.kind") == F.col("s.kind")) & (F.col("f._shape") == F.col("s._shape")) & ~F.col("f._broken")
     negative = unlike.join(shapes.alias("s"), same, "left_anti").drop("_shape", "_broken")
@@ -219,14 +295,20 @@ def learn(
     return model, thresholds
 
 
-def judged(candidates: DataFrame, model: GBTClassificationModel, thresholds: dict[str, float]) -> DataFrame:
-    """Proposals that the model takes for personal data: the keys and one array ``more`` per document with any."""
+def judged(candidates: DataFrame, learned: tuple[GBTClassificationModel, dict[str, float]] | None) -> DataFrame:
+    """Proposals that are proven or that the model, if there is one, takes for personal data.
+
+    The keys and one array ``more`` per document with any.
+    """
     rows = _exploded(candidates, list(PROPOSED))
     rows = rows.select(*KEYS, "kind", "start", "end", *[v.alias(k) for k, v in _features().items()])
-    scored = model.transform(VectorAssembler(inputCols=NAMES, outputCol="features").transform(rows))
-    p = vector_to_array("probability")[1]
-    passes = reduce(lambda a, b: a | b, [(F.col("kind") == k) & (p >= t) for k, t in thresholds.items()])
-    chosen = scored.filter(passes).select(*KEYS, F.struct("start", "end", "kind").alias("s"))
+    passes = F.col("proven") == 1
+    if learned is not None:
+        model, thresholds = learned
+        rows = model.transform(VectorAssembler(inputCols=NAMES, outputCol="features").transform(rows))
+        p = vector_to_array("probability")[1]
+        passes = reduce(lambda a, b: a | b, [(F.col("kind") == k) & (p >= t) for k, t in thresholds.items()], passes)
+    chosen = rows.filter(passes).select(*KEYS, F.struct("start", "end", "kind").alias("s"))
     return chosen.groupBy(*KEYS).agg(F.collect_set("s").alias("more"))
 
 
@@ -237,15 +319,11 @@ def find_personal(documents: DataFrame) -> DataFrame:
     ids may be null or repeat with other texts. Spans are code points of the whole text.
     """
     candidates = materialize(find_candidates(documents), "candidates")
-    learned = learn(candidates)
+    more = judged(candidates, learn(candidates)).select(*[F.col(k).alias(f"_{k}") for k in KEYS], "more")
     kept = candidates.select(*KEYS, *[F.transform(k, _places).alias(k) for k in BASE])
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-    if learned is None:
-        kept = kept.withColumn("more", none)
-    else:
-        more = judged(candidates, *learned).select(*[F.col(k).alias(f"_{k}") for k in KEYS], "more")
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
-        kept = kept.join(more, same, "left").drop(*[f"_{k}" for k in KEYS]).withColumn("more", F.coalesce("more", none))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
+    kept = kept.join(more, same, "left").drop(*[f"_{k}" for k in KEYS]).withColumn("more", F.coalesce("more", none))
     kinds = {k: F.col(k) for k in BASE} | {k: F.filter("more", _of_kind(k)) for k in PROPOSED}
     return kept.select(*KEYS, *BASE, labelled(kinds).alias("spans"))
 

@@ -282,6 +282,38 @@ def test_trees_add_veiled_forms_and_leave_prose_alone(spark):
     assert sum("number:" in got[i] for i, _ in rows if i % 4 == 2) <= 3
 
 
+def iban(country, rest):
+    number = int("".join(str(int(c, 36)) for c in f"{rest}{country}00"))
+    return f"{country}{98 - number % 97:02d}{rest}"
+
+
+def test_account_numbers_and_network_addresses_are_reported(spark):
+    rnd = random.Random(9)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    groups = lambda n: ":".join(f"{rnd.randint(0, 65535):x}" for _ in range(n))
+    planted = []
+    for i in range(40):
+        whole = [iban("DE", digits(18)), iban("GB", "WEST" + digits(14)), iban("NO", digits(11)), iban("MT", "MALT" + digits(23))][i % 4]
+        planted.append(("account", whole if i % 8 < 4 else " ".join(whole[j : j + 4] for j in range(0, len(whole), 4))))
+        planted.append(("network", [groups(8), f"2001:db8::{groups(3)}", f"fe80::{groups(4)}"][i % 3]))
+    planted += [("account", "BE68 5390 0754 7034"), ("account", "GB82 WEST 1234 5698 7654 32")]
+    rows = [(i, f"{prose(rnd, 9)} {value} {prose(rnd, 9)}") for i, (_, value) in enumerate(planted)]
+    rows.append((len(rows), "paid to BE68 5390 0754 7034 EURO 2024"))
+    planted.append(("account", "BE68 5390 0754 7034"))
+    wrong = ["DE89370400440532013001", "GB82 WEST 1234 5698 7654 33", "ZZ89370400440532013000", "1:2:3:4:5:6:7:8:9", "12:34:56:78", "std::a", "a::b"]
+    bad = [(1000 + i, f"the code {v} here") for i, v in enumerate(wrong * 20)]
+    docs = spark.createDataFrame(rows + bad, "doc_id bigint, text string")
+    for some, left in ((docs, []), (docs.filter("doc_id < 1000"), bad)):  # without negatives there is no model
+        got = {r.doc_id: set(r.spans.split(",")) for r in pii.digests(pii.find_personal(some)).collect()}
+        for (i, text), (kind, value) in zip(rows, planted, strict=True):
+            at = text.index(value)
+            assert f"{kind}:{at}:{at + len(value)}" in got[i], (kind, value, got[i])
+        if not left:
+            assert not any("account" in s or "network" in s for i, _ in bad for s in got[i])
+    hidden = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert all(value not in hidden[i] for i, (_, value) in enumerate(planted))
+
+
 def test_personal_data_of_odd_tables(odd, odd_rows, empty):
     assert Counter(r.doc_id for r in pii.digests(pii.find_personal(odd)).collect()) == Counter(r[0] for r in odd_rows)
     assert pii.find_personal(empty).count() == 0 and pii.redact(empty).count() == 0
