@@ -1,4 +1,4 @@
-"""Model fits, selection, search and forecasts. Few boosting rounds and trials keep a run short; everything else is complete.
+"""Model fits, selection, search and forecasts. Few boosting rounds keep a run short; everything else is complete.
 
 Beside the full models stand keys whose model is known exactly: one tree with one split on a 0/1 column predicts the mean
 log target of each side, and a log-linear count model on such a column predicts group means. SQL checks those.
@@ -23,10 +23,10 @@ from panelwright.storage import materialize, new_path
 
 SPEC, BOUNDS = fixture.SPEC, fixture.BOUNDS
 KEYS = list(SPEC.keys)
-#: Parameters of the registered runs: boosting settings, folds and trials. Rows, horizons, groups and known columns are complete.
+#: Parameters of the registered runs: boosting settings (QUICK for selection and searches), folds and trials. Rows, horizons, groups and known columns are complete.
 PARAMS = models.TreeParams(rounds=10, learning_rate=0.2, depth=4)
-QUICK = models.TreeParams(rounds=2, learning_rate=0.5, depth=2)
-FOLDS, SEARCH_FOLDS, TRIALS = 5, 2, 2
+QUICK = models.TreeParams(rounds=3, learning_rate=0.5, depth=3)
+FOLDS, TRIALS, LAG_TRIALS = 5, 32, 30
 START = ["center_id", "meal_id", "checkout_price", "base_price", "emailer_for_promotion", "homepage_featured", "op_area"]
 KNOWN = (
     "checkout_price", "base_price", "emailer_for_promotion", "homepage_featured", "center_id_week_count",
@@ -108,7 +108,7 @@ def feature_importance(spark, sf_dir) -> DataFrame:
                   top=[f in top for f in ranked], group_importance=[scores.get(f) for f in ranked])
 
 
-def _scorer(p: validation.Problem, nfold: int = SEARCH_FOLDS):
+def _scorer(p: validation.Problem, nfold: int = FOLDS):
     p = replace(p, parallelism=1)
 
     def score(names: list[str]) -> selection.Score:
@@ -162,7 +162,7 @@ def param_search(spark, sf_dir) -> DataFrame:
 def lag_search(spark, sf_dir) -> DataFrame:
     p = lag_problem(spark, sf_dir)
     first = LagSpec(-1, -6, 0, 0.46, ("log_num_orders",), KNOWN, tuple(STATS))
-    found = search.search_horizons(p, SPEC, first, HORIZONS, ["checkout_price", "homepage_featured"], SEARCH_FOLDS, TRIALS, select=(1,))
+    found = search.search_horizons(p, SPEC, first, HORIZONS, ["checkout_price", "homepage_featured"], FOLDS, LAG_TRIALS)
     return report(
         spark, horizon=[s.horizon for s, _ in found], t_min=[s.t_min for s, _ in found], t_max=[s.t_max for s, _ in found],
         power=[s.power for s, _ in found], known=[" ".join(s.known) for s, _ in found], score=[v for _, v in found],
@@ -172,13 +172,13 @@ def lag_search(spark, sf_dir) -> DataFrame:
 @query("compare_lags")
 def compare_lags(spark, sf_dir) -> DataFrame:
     p = lag_problem(spark, sf_dir)
-    rows = [(s.horizon, *r) for s in SPECS for r in search.compare_lags(p, SPEC, s, START, SEARCH_FOLDS)]
+    rows = [(s.horizon, *r) for s in SPECS for r in search.compare_lags(p, SPEC, s, START, FOLDS)]
     horizon, variant, test, cv = zip(*rows, strict=True)
     return report(spark, horizon=list(horizon), variant=list(variant), score_test=list(test), score_cv=list(cv))
 
 
 def _forecasts(spark, sf_dir, root: str | None = None) -> tuple[validation.Problem, DataFrame]:
-    p = forecast.lag_problem(lag_problem(spark, sf_dir), SPEC, SPECS)
+    p = forecast.lag_problem(lag_problem(spark, sf_dir, PARAMS), SPEC, SPECS)
     banks = forecast.fit_horizons(p, SPECS, START, root)
     return p, materialize(forecast.forecast_horizons(p, SPEC, banks), "forecasts")
 

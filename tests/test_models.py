@@ -194,3 +194,28 @@ def test_count_model_marks_missing_inputs(spark):
     assert fitted.missing == ["my x"]
     got = {r["y"]: r["f"] for r in fitted.predict(df).groupBy("y").agg(F.avg("forecast").alias("f")).collect()}
     assert abs(got[2] - 2) < 0.01 and abs(got[8] - 8) < 0.01
+
+
+def test_lag_search_chooses_known_columns_at_every_horizon(monkeypatch):
+    from dataclasses import replace
+    from types import SimpleNamespace
+
+    from catalog import models as registered
+
+    asked, tried = [], []
+
+    def select_known(problem, panel, spec, features, nfold, seed=1):
+        asked.append((spec.horizon, spec.known, nfold))
+        return replace(spec, known=spec.known[:1] if spec.horizon == 1 else spec.known), None
+
+    def search_lags(problem, panel, spec, features, nfold, trials, seed=1):
+        tried.append((nfold, trials))
+        return [search.Trial({"t_min": spec.t_min, "t_max": spec.t_max, "power": spec.power}, 0.0)]
+
+    monkeypatch.setattr(search, "select_known", select_known)
+    monkeypatch.setattr(search, "search_lags", search_lags)
+    monkeypatch.setattr(registered, "lag_problem", lambda *a: SimpleNamespace(bounds=registered.BOUNDS))
+    monkeypatch.setattr(registered, "report", lambda spark, **columns: columns)
+    got = registered.lag_search(None, "")
+    assert asked == [(h, registered.KNOWN, 5) for h in range(1, 11)] and tried == [(5, 30)] * 10
+    assert got["known"] == [registered.KNOWN[0], *[" ".join(registered.KNOWN)] * 9]
