@@ -2,7 +2,8 @@
 
 The plan needs only the histogram, which has one entry per length up to the capacity, whatever the size of the corpus.
 Lengths are placed longest first; each goes into the open packing pattern with the most room, and whole counts of equal
-packs are moved at once. Every placement splits at most one pattern, so there are at most two patterns per length.
+packs are moved at once. Where no pattern has room, packs are opened and filled with pieces of the length one after the
+other. A length splits at most one pattern or opens at most two, so there are at most two patterns per length.
 Pieces then find their place by their rank among the pieces of the same length.
 """
 
@@ -50,7 +51,13 @@ def patterns(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[i
             while room >= length and not rooms[room]:
                 room -= 1
             if room < length:
-                rooms[capacity - length].append((waiting, (length, None)))
+                fit = capacity // length
+                for count, times in ((waiting // fit, fit), (1, waiting % fit)):
+                    if count and times:
+                        placed = None
+                        for _ in range(times):
+                            placed = (length, placed)
+                        rooms[capacity - times * length].append((count, placed))
                 break
             count, placed = rooms[room].pop()
             moved = min(count, waiting)

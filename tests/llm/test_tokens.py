@@ -94,6 +94,19 @@ def test_patterns_use_every_length_and_fit(histogram):
     assert plan(histogram, 40).sequences == sum(c for c, _ in packs)
 
 
+def test_packs_are_filled_with_pieces_of_one_length():
+    assert plan({100: 1000}, 4096).sequences == 25
+    assert plan({4096: 3, 1: 4097}, 4096).sequences == 5
+    hot = {700: 40, 350: 50_000, 90: 30, 33: 2}  # 11 of 350 a sequence
+    assert plan(hot, 4096).sequences <= -(-50_000 // 11) + 8
+    for histogram in ({7: 500}, {3: 1000, 2: 1}, {20: 5, 9: 400}):
+        used = Counter()
+        for count, times in patterns(histogram, 40):
+            assert sum(length * t for length, t in times.items()) <= 40
+            used.update({length: t * count for length, t in times.items()})
+        assert used == Counter(histogram)
+
+
 def test_a_length_that_most_pieces_share_is_ranked_in_parts(spark):
     pieces = spark.range(500).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 7 ELSE 20 END AS length", "'x' AS `an extra`")
     rows = pack(pieces, 32, rows_per_salt=16).collect()
