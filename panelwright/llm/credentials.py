@@ -3,8 +3,9 @@
 A sure secret is reported wherever it stands. Weak candidates (short or unlabelled keys, login names, endpoints) occur
 in ordinary text too; one is reported only when a complementary part stands in the same scope: a key needs an
 identifier or an endpoint, an identifier or an endpoint needs a secret. A scope reaches ``scope`` characters to either
-side. Complementary parts are found by an interval join on cells of the scope's width, as a semi join, so that dense
-texts do not multiply rows. Only DataFrame operations are used.
+side, from the end of one part to the start of the other. Complementary parts are found by an interval join on all cells
+of the scope's width that a part reaches, as a semi join, so that dense texts do not multiply rows. Only DataFrame
+operations are used.
 """
 
 from __future__ import annotations
@@ -84,11 +85,14 @@ def linked(parts: DataFrame, scope: int) -> DataFrame:
     every = [F.transform(k, _part(k, role)) for k, role in roles.items()]
     rows = some.select(*KEYS, F.explode(F.concat(*every)).alias("s")).select(*KEYS, "s.*").dropDuplicates()
     rows = materialize(rows, "parts")
-    cell = F.floor(F.col("start") / scope)
-    weak = rows.filter(F.col("kind").isin(*WEAK)).withColumn("_cell", F.explode(F.array(cell - 1, cell, cell + 1)))
-    weak, others = weak.alias("w"), rows.withColumn("_cell", cell).alias("o")
+
+    def cells(reach: int) -> Column:
+        return F.explode(F.sequence(F.floor((F.col("start") - reach) / scope), F.floor((F.col("end") + reach) / scope)))
+
+    weak = rows.filter(F.col("kind").isin(*WEAK)).withColumn("_cell", cells(scope)).alias("w")
+    others = rows.withColumn("_cell", cells(0)).alias("o")
     same = [F.col(f"w.{k}").eqNullSafe(F.col(f"o.{k}")) for k in KEYS] + [F.col("w._cell") == F.col("o._cell")]
-    near = F.abs(F.col("w.start") - F.col("o.start")) <= scope
+    near = F.greatest("w.start", "o.start") - F.least("w.end", "o.end") <= scope
     fits = F.lit(False)
     for role, partners in COMPLEMENTS.items():
         fits = fits | ((F.col("w.role") == role) & F.col("o.role").isin(*partners))

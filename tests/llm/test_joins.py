@@ -369,6 +369,15 @@ def test_weak_parts_need_company(spark):
     } and len(rows) == 8
 
 
+def test_the_scope_reaches_over_the_gap_between_long_parts(spark):
+    url = "jdbc:db://example.org/" + "q" * 700
+    key, gap = "pwd = " + "k9" * 400, " x" * 140
+    texts = [f"{url} pwd=abcd", f"{key}{gap} user = anna", f"user = anna{gap} {key}", f"{url}{gap * 2} pwd=abcd", f"{key}{gap * 2} user = anna"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s] for r in credentials.digests(credentials.find_secrets(docs)).collect()}
+    assert got == {0: ["endpoint", "key"], 1: ["key", "login"], 2: ["login", "key"], 3: [], 4: []}
+
+
 def test_secrets_of_odd_tables(odd, odd_rows, empty):
     got = credentials.digests(credentials.find_secrets(odd)).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in odd_rows)
