@@ -3,8 +3,10 @@
 The gear hash of the last 16 bytes decides on boundaries, so they move with the text: an insertion changes the chunks
 around it and no others. A chunk starts at a strong boundary (one in ``strong`` bytes on average) and ends at the first
 weak boundary (one in ``weak``) at least ``least`` bytes later and not before the next chunk starts, so chunks vary in
-size, overlap and cover the text, and a passage of twice that size almost surely holds a whole one. A chunk whose digest occurs in two places is a repeat; overlapping
-repeats of a document are joined to passages.
+size, overlap and cover the text, and a passage of twice that size almost surely holds a whole one. Runs of words are
+chunks as well: of every 26 runs of 26 words in a row the one with the smallest hash, so any passage of 51 words holds
+a whole one, whatever its bytes. A text of fewer than ``least`` bytes is one chunk. A chunk whose digest occurs in two
+places is a repeat; overlapping repeats of a document are joined to passages.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ CHUNKS = "doc_id bigint, start int, end int, digest bigint, more int, again bool
 _WINDOW = 16
 #: Longest stretch without a boundary; beyond it one is set, counted from the last.
 _MOST = 512
+#: Words of a run, and runs among which one is chosen; a passage of ``2 * _RUN - 1`` words holds a chosen run.
+_RUN = 26
+#: A number for every byte at every place of a word; places beyond the last count like it.
+_PLACES = mix64(np.arange(1, 64 * 256 + 1, dtype=np.uint64)).reshape(64, 256)
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 
 
@@ -91,6 +97,59 @@ def chunks(texts: list[bytes], least: int, strong: int, weak: int) -> tuple[np.n
     return owner, begins - first, stops - first, before[begins] - before[first], before[stops] - before[first]
 
 
+def word_chunks(texts: list[bytes], least: int) -> tuple[np.ndarray, ...]:
+    """Runs of words and short texts, like ``chunks``.
+
+    The first and the last run of a text are chunks too, so that runs cover the words of a text of at least ``_RUN``. A
+    text with words and fewer than ``least`` bytes is a chunk. Which run is chosen depends on its words alone.
+    """
+    raw = np.frombuffer(b"".join(x for text in texts for x in (text, b" ")), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    first = np.cumsum(sizes + 1) - sizes - 1
+    black = (raw != 32) & ((raw < 9) | (raw > 13))
+    edge = np.diff(np.concatenate([[False], black]).astype(np.int8))
+    opens, closes = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    owner = np.searchsorted(first, opens, side="right") - 1
+    words = np.bincount(owner, minlength=len(texts))
+    begin, stop = [first[(sizes < least) & (words > 0)]], [(first + sizes)[(sizes < least) & (words > 0)]]
+    if len(opens) >= _RUN:
+        place = np.arange(len(raw))
+        place[opens[0] :] -= np.repeat(opens, np.diff(np.append(opens, len(raw))))
+        named = np.where(black, _PLACES[np.minimum(place, 63), raw], np.uint64(0))
+        word = np.add.reduceat(named, opens)
+        last = len(opens) - _RUN
+        hashed = np.zeros(last + 1, np.uint64)
+        for i in range(4):
+            hashed = mix64(hashed + word[i : i + last + 1])
+        whole = np.flatnonzero(owner[: last + 1] == owner[_RUN - 1 :])
+        hashed, own = hashed[whole], owner[whole]
+        chosen = np.empty(0, np.int64)
+        if len(whole) >= _RUN:
+            smallest = np.arange(len(whole) - _RUN + 1)
+            smallest = smallest + np.lib.stride_tricks.sliding_window_view(hashed, _RUN).argmin(axis=1)
+            chosen = np.unique(smallest[own[: len(smallest)] == own[_RUN - 1 :]])
+        edges = np.flatnonzero(np.diff(np.concatenate([[-1], own, [-1]])))
+        ends = np.concatenate([edges[:-1], edges[1:] - 1]) if len(whole) else np.empty(0, np.int64)
+        runs = whole[np.unique(np.concatenate([chosen, ends]))]
+        begin.append(opens[runs])
+        stop.append(closes[runs + _RUN - 1])
+    begins, stops = np.concatenate(begin), np.concatenate(stop)
+    owner = np.searchsorted(first, begins, side="right") - 1
+    before = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+    at = first[owner]
+    return owner, begins - at, stops - at, before[begins] - before[at], before[stops] - before[at]
+
+
+def all_chunks(texts: list[bytes], least: int, strong: int, weak: int) -> tuple[np.ndarray, ...]:
+    """The chunks of ``chunks`` and ``word_chunks`` in the order of their places, each place once."""
+    found = [np.concatenate(x) for x in zip(chunks(texts, least, strong, weak), word_chunks(texts, least), strict=True)]
+    order = np.lexsort(found[2::-1])
+    found = [x[order] for x in found]
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(found[0]) != 0) | (np.diff(found[1]) != 0) | (np.diff(found[2]) != 0)
+    return tuple(x[new] for x in found)
+
+
 def chunk_documents(documents: DataFrame, least: int = 96, strong: int = 32, weak: int = 8) -> DataFrame:
     """Chunks of every whole text: doc_id, start and end in characters, and 95 bits of digest (digest, more).
 
@@ -106,7 +165,7 @@ def chunk_documents(documents: DataFrame, least: int = 96, strong: int = 32, wea
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for lo, hi in in_slices(texts):
                 data = [t.encode("utf-8", "surrogatepass") for t in texts[lo:hi]]
-                owner, begins, stops, start, end = chunks(data, least, strong, weak)
+                owner, begins, stops, start, end = all_chunks(data, least, strong, weak)
                 rows = [digest(data[o][b:e]) for o, b, e in zip(owner.tolist(), begins.tolist(), stops.tolist(), strict=True)]
                 seen: set[tuple[int, int]] = set()
                 again = []
@@ -146,8 +205,8 @@ def repeated_passages(documents: DataFrame, least: int = 96, strong: int = 32, w
     """Passages that an earlier document (or place) holds as well: doc_id, start, end, first_doc_id, n_chunks.
 
     Positions are characters of the whole text, the end exclusive. Overlapping and touching repeats of a document are
-    one passage; ``first_doc_id`` is the smallest document that holds one of its chunks first. Null and empty texts, and
-    texts below ``least`` bytes, have none.
+    one passage; ``first_doc_id`` is the smallest document that holds one of its chunks first. Null texts and texts
+    below ``least`` bytes without words have none.
     """
     repeats = repeated_chunks(chunk_documents(documents, least, strong, weak))
     return join_spans(repeats)

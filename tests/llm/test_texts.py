@@ -232,3 +232,41 @@ def test_exact_copies_are_one_passage(spark):
     docs = spark.createDataFrame([(i, text) for i in range(50)], "doc_id bigint, text string")
     found = chunks.repeated_passages(docs).collect()
     assert sorted((r.doc_id, r.start, r.end, r.first_doc_id) for r in found if r.doc_id) == [(i, 0, len(text), 0) for i in range(1, 50)]
+
+
+def test_every_passage_of_51_words_holds_a_chunk(spark):
+    rnd = random.Random(8)
+
+    def words(n, longest):
+        return " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(1, longest))) for _ in range(n))
+
+    rows, planted = [], {}
+    for i in range(0, 400, 2):
+        passage = words(51, 1 + i % 3)
+        for j in (i, i + 1):
+            own = words(rnd.randint(1, 60), 9)
+            rows.append((j, f"{own} {passage} {words(rnd.randint(1, 60), 9)}"))
+            planted[j] = len(own) + 1, len(own) + 1 + len(passage)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = chunks.repeated_passages(docs).collect()
+    hit = {r.doc_id for r in found if r.start < planted[r.doc_id][1] and planted[r.doc_id][0] < r.end and r.first_doc_id == r.doc_id - 1}
+    assert hit == set(range(1, 400, 2)) and {r.doc_id for r in found} == hit
+
+
+def test_copies_of_short_texts_are_repeats(spark):
+    rows = [(1, "one short line"), (2, "one short line"), (3, "é"), (4, "é"), (5, " "), (6, " "), (7, ""), (8, ""), (9, "another line")]
+    rows += [(10, " ".join("abcdefghijklmnopqrstuvwxyz") + " x"), (11, " ".join("abcdefghijklmnopqrstuvwxyz") + " x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted((r.doc_id, r.start, r.end, r.first_doc_id) for r in chunks.repeated_passages(docs).collect())
+    assert found == [(2, 0, 14, 1), (4, 0, 1, 3), (11, 0, 53, 10)]
+
+
+def test_word_chunks_of_many_texts_are_those_of_each():
+    rnd = random.Random(9)
+    texts = [prose(rnd, n).encode() for n in (0, 3, 25, 26, 27, 51, 52, 400)] + [b"x" * 3000, b" \n", "é 😀 ".encode() * 300, b" lead " * 40]
+    found = chunks.all_chunks(texts, 96, 32, 8)
+    for i, text in enumerate(texts):
+        own = found[0] == i
+        assert [x[own].tolist() for x in found[1:]] == [x.tolist() for x in chunks.all_chunks([text], 96, 32, 8)[1:]]
+        for _, b, e, s, f in zip(*[x[own] for x in found], strict=True):
+            assert text[b:e].decode() == text.decode()[s:f] and e > b
