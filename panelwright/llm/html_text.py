@@ -27,7 +27,7 @@ BLOCKS = frozenset(
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre li dt dd td th tr address figcaption legend summary hr".split())
 DROPPED = frozenset(
     "script style noscript template iframe object embed svg math canvas audio video map head title meta link base nav "
-    "footer aside form button input select textarea option optgroup datalist output progress meter dialog menu".split()
+    "footer aside button input select textarea option optgroup datalist output progress meter dialog menu".split()
 )
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert status menu menubar form toolbar tablist "
@@ -50,7 +50,7 @@ CONTAINERS = frozenset("ul ol dl table select body html div article section main
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "after")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
@@ -109,11 +109,11 @@ class _Tree(HTMLParser):
 
 def parse(html: str) -> Node:
     """Tree of a page; an unfinished comment or tag at the end of a cut page is no text."""
-    if html.rfind("<!--") > html.rfind("-->"):
-        html = html[: html.rfind("<!--")]
     html = re.sub(r"<[a-zA-Z/!?][^<>]*\Z", "", html)
     tree = _Tree()
     tree.feed(html)
+    if tree.rawdata.startswith("<!--"):  # only the parser knows those in scripts and attributes
+        tree.rawdata = ""
     tree.close()
     return tree.root
 
@@ -150,7 +150,8 @@ def _unwanted(node: Node, inside: bool) -> bool:
         return False
     if node.tag in DROPPED or _hidden(node.attrs):
         return True
-    if node.attrs.get("role", "").lower() in DROPPED_ROLES:
+    role = node.attrs.get("role", "").lower()
+    if role in DROPPED_ROLES and (node.tag, role) != ("form", "form"):
         return True
     words = _words(node) if "class" in node.attrs or "id" in node.attrs else set()
     if words & COMMENT_WORDS:
@@ -163,13 +164,28 @@ def _unwanted(node: Node, inside: bool) -> bool:
 
 
 def prune(root: Node) -> None:
-    """Take unwanted elements out of the tree."""
+    """Take unwanted elements out of the tree, and of the forms left those that do not hold the page's text."""
     stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
         inside = inside or node.tag in ("article", "main")
         node.children = [c for c in node.children if isinstance(c, str) or not _unwanted(c, inside)]
         stack += [(c, inside) for c in node.children if isinstance(c, Node)]
+    nodes = _in_order(root)
+    if any(n.tag == "form" for n in nodes):
+        _prune_forms(nodes)
+
+
+def _prune_forms(nodes: list[Node]) -> None:
+    """Drop the forms without an article, main or heading that hold less than half of the text."""
+    for node in reversed(nodes):
+        node.chars = sum(len(" ".join(c.split())) if isinstance(c, str) else c.chars for c in node.children)
+    whole = nodes[0].chars
+    for node in nodes:
+        node.children = [
+            c for c in node.children
+            if isinstance(c, str) or c.tag != "form" or (c.chars and 2 * c.chars >= whole) or _holds(c, _MAIN)
+        ]
 
 
 def _in_order(root: Node) -> list[Node]:
@@ -206,6 +222,15 @@ def weigh(body: Node) -> list[Node]:
         base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + share * c + math.e)
         inner = max(c / lc * t / lt, 1.0)
         node.density = c / t * (math.log(inner) / math.log(max(base, 1.0 + 1e-9)) if base > 1.0 else math.log(inner))
+    body.after = 0
+    for node in nodes:
+        after = node.after  # characters of the page behind the node
+        for c in reversed(node.children):
+            if isinstance(c, str):
+                after += len(" ".join(c.split()))
+            else:
+                c.after = after
+                after += c.chars
     for node in nodes:
         node.total = sum(c.density for c in node.children if isinstance(c, Node))
     return nodes
@@ -217,20 +242,30 @@ def _is_container(node: Node) -> bool:
     return node.tag in BLOCKS and node.tag not in TEXT_BLOCKS
 
 
-_IMPRINT = re.compile(r"\s*(©|\(c\)\s*\d|copyright\b)", re.IGNORECASE)
+_IMPRINT = re.compile(r"\s*(©|\(c\)\s*\d|copyright\b(?=.*?(?:©|\(c\)|\b(?:19|20)\d\d\b)))", re.IGNORECASE | re.DOTALL)
 
 
 def _plain_text(node: Node) -> str:
-    return "".join(c if isinstance(c, str) else _plain_text(c) for c in node.children)
+    out, stack = [], [node]
+    while stack:
+        item = stack.pop()
+        if isinstance(item, str):
+            out.append(item)
+        else:
+            stack += reversed(item.children)
+    return "".join(out)
 
 
 def _marginal(node: Node) -> bool:
-    """A block of little but links, or an imprint, on a page that does not mark its article."""
+    """A block of little but links, or an imprint, on a page that does not mark its article.
+
+    An imprint bears a sign or a year and stands at the end: fewer than 200 characters come after it.
+    """
     if node.tag not in BLOCKS or node.tag in ("body", "html"):
         return False
     if node.link_tags >= 2 and 5 * node.link_chars >= 4 * node.chars:
         return True
-    return node.chars < 200 and _IMPRINT.match(_plain_text(node)) is not None
+    return node.chars < 200 and node.after < 200 and _IMPRINT.match(_plain_text(node)) is not None
 
 
 def trim(body: Node) -> None:

@@ -48,6 +48,27 @@ def test_odd_pages(html, want):
     assert html_text.main_text(html) == want
 
 
+_LONG = "<p>" + "A paragraph of the article with quite a few words in it and no links. " * 4 + "</p>"
+_LONG_TEXT = " ".join(("A paragraph of the article with quite a few words in it and no links. " * 4).split())
+
+
+@pytest.mark.parametrize("html, want", [
+    (f"<body><form id=aspnet><input type=hidden><div>{_LONG * 2}</div><select><option>x</select><button>Go</button></form></body>",
+     f"{_LONG_TEXT}\n{_LONG_TEXT}"),
+    ("<body><form role=form><article><p>Short.</p></article></form></body>", "Short."),
+    (f"<body><div>{_LONG}</div><form><p>Your mail <input></p></form></body>", _LONG_TEXT),
+    ("<script><!-- code </script><article><p>article</p></article>", "article"),
+    ("<article><p title='<!--'>article</p><p>more</p></article>", "article\nmore"),
+    ("<article><p>a</p><!-- b <p>c</p>", "a"),
+    ("<body><div><p>Copyright reform passed the senate.</p></div></body>", "Copyright reform passed the senate."),
+    (f"<body><div><p>Copyright 2019 was the year.</p>{_LONG}</div></body>", f"Copyright 2019 was the year.\n{_LONG_TEXT}"),
+    (f"<body><div>{_LONG}</div><div>Copyright 2019 Example</div></body>", _LONG_TEXT),
+    ("<body>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</body>", "deep"),
+])
+def test_article_text_is_not_dropped_by_rules(html, want):
+    assert html_text.main_text(html) == want
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, "u", "<p>a</p>", "x"), (1, "u", "<p>a</p>", "x"), (None, None, None, None), (2, "v", "", "y")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
