@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.functions.names import quoted
 from panelwright.llm.common import mix64, partitions_for, text_of, window_hashes, word_hashes
 from panelwright.llm.graph import components
 from panelwright.llm.tokens import in_slices
@@ -478,12 +479,10 @@ def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield key, nodes, blocks, tokens
 
 
-def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Component of every document under links of at least ``percent`` per cent Jaccard similarity.
+def _labelled(documents: DataFrame, percent: int) -> DataFrame:
+    """doc_id, hash of the text, n_shingles, component_id, and the names a and b of the component, null without words.
 
-    Returns one row per document: doc_id, n_shingles and component_id, the smallest doc_id that links reach, its own
-    included. Documents without words (null or empty text) have no shingles and no links. Repeated rows and ids are kept
-    and judged by their text; null ids take part in links, but a component_id is null only where no id is known.
+    One row per document. A component is named after one of its sets, so ids that repeat do not mix components.
     """
     counted = materialize(count_shared(documents, percent), "counted")
     rows = counted.filter("payload IS NULL")
@@ -494,26 +493,48 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     linked = components(links(members, candidate_clusters(members, percent), percent))
     named = members.select("node", "set_a", "set_b").join(linked, "node")
     own = named.join(sets.select("set_a", "set_b", F.col("first.doc_id").alias("doc_id")), ["set_a", "set_b"])
-    lowest = own.groupBy("root").agg(F.min("doc_id").alias("lowest"))
-    reached = own.join(lowest, "root").select(F.col("set_a").alias("_a"), F.col("set_b").alias("_b"), "lowest")
+    name = F.min(F.struct("set_a", "set_b")).alias("name")
+    lowest = own.groupBy("root").agg(F.min("doc_id").alias("lowest"), name)
+    reached = own.join(lowest, "root").select(F.col("set_a").alias("_a"), F.col("set_b").alias("_b"), "lowest", "name")
     same = (F.col("set_a") == F.col("_a")) & (F.col("set_b") == F.col("_b"))
     labelled = sets.join(reached, same, "left").select(
-        F.col("set_a").alias("_a"), F.col("set_b").alias("_b"), F.coalesce("lowest", "first.doc_id").alias("component")
+        F.col("set_a").alias("_a"), F.col("set_b").alias("_b"), F.coalesce("lowest", "first.doc_id").alias("component"),
+        F.coalesce("name.set_a", "set_a").alias("a"), F.coalesce("name.set_b", "set_b").alias("b"),
     )
     joined = rows.filter("n > 0").join(labelled, same)
-    out = joined.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.col("component").alias("component_id"))
-    alone = rows.filter("n = 0").select("doc_id", F.lit(0).cast("bigint"), "doc_id")
-    return out.union(alone)
+    size = F.col("n").cast("bigint").alias("n_shingles")
+    out = joined.select("doc_id", "hash", size, F.col("component").alias("component_id"), "a", "b")
+    none = F.lit(None).cast("bigint")
+    return out.union(rows.filter("n = 0").select("doc_id", "hash", F.lit(0).cast("bigint"), "doc_id", none, none))
+
+
+def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Component of every document under links of at least ``percent`` per cent Jaccard similarity.
+
+    Returns one row per document: doc_id, n_shingles and component_id, the smallest doc_id that links reach, its own
+    included. Documents without words (null or empty text) have no shingles and no links. Repeated rows and ids are kept
+    and judged by their text; null ids take part in links, but a component_id is null only where no id is known.
+    """
+    return _labelled(documents, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of every component, that with the smallest id; all columns stay.
 
-    Documents without words are linked with nothing and stay, as do rows with a null id. Of rows that repeat the kept id
-    one stays.
+    Documents without words are linked with nothing and stay, as do rows with a null id. Rows that share an id are judged
+    by their texts: one row stays of every component that has the id as its smallest, that with the smallest hash of its
+    text, and one of rows that repeat both id and text, chosen by the other columns.
     """
-    found = near_duplicates(documents, percent)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    packed = documents.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"))
-    chosen = packed.join(kept.hint("shuffle_hash"), F.col("_id") == F.col("_kept"), "left_semi").dropDuplicates(["_id"])
-    return chosen.union(packed.filter("_id IS NULL")).select("_row.*")
+    found = _labelled(documents, percent).filter("doc_id = component_id")
+    least = found.filter("a IS NOT NULL").groupBy("a", "b").agg(F.min(F.struct("doc_id", "hash")).alias("k")).select("k.*")
+    kept = least.union(found.filter("a IS NULL").select("doc_id", "hash")).distinct()
+    kept = kept.select(F.col("doc_id").alias("_kept"), F.col("hash").alias("_text"))
+    plain = [F.col(quoted(f.name)) for f in documents.schema if "map<" not in f.dataType.simpleString()]
+    packed = documents.select(
+        F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64(text_of()).alias("_hash"),
+        F.xxhash64(*plain).alias("_order"),
+    )
+    same = (F.col("_id") == F.col("_kept")) & (F.col("_hash") == F.col("_text"))
+    chosen = packed.join(kept.hint("shuffle_hash"), same, "left_semi")
+    chosen = chosen.groupBy("_id", "_hash").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
+    return chosen.union(packed.filter("_id IS NULL").select("_row.*"))

@@ -153,6 +153,23 @@ def test_components_of_odd_tables(odd, odd_rows, empty):
     assert jaccard.near_duplicates(empty).count() == 0 and jaccard.keep_one(empty).count() == 0
 
 
+def test_rows_that_share_an_id_are_kept_by_their_texts(spark):
+    rnd = random.Random(11)
+    a, b, c, d = (prose(rnd, 100) for _ in range(4))
+    near = lambda text: text + " more"
+    rows = [(1, a), (5, near(a)), (5, b), (5, c), (5, near(c)), (6, near(b)), (5, b), (7, d), (7, None), (7, ""), (8, "")]
+    for parts in (1, 5):
+        docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, n int").repartition(parts)
+        kept = jaccard.keep_one(docs).collect()
+        first = Counter((r.doc_id, r.text) for r in kept)
+        assert first[1, a] == first[5, b] == first[7, d] == 1 and first[5, c] + first[5, near(c)] == 1
+        assert sum(r.doc_id == 7 and not r.text for r in kept) == 1 and first[8, ""] == 1
+        assert len(kept) == 6
+        if parts == 1:
+            before = sorted(r.n for r in kept)
+    assert sorted(r.n for r in kept) == before
+
+
 def test_a_large_cluster_is_joined_by_blocks(spark):
     rnd = random.Random(3)
     base = prose(rnd, 100).split()
