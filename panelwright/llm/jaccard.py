@@ -24,7 +24,7 @@ from panelwright.functions.names import quoted
 from panelwright.llm.common import mix64, partitions_for, text_of, window_hashes, word_hashes
 from panelwright.llm.graph import components
 from panelwright.llm.tokens import in_slices
-from panelwright.operators.ordering import row_ranks
+from panelwright.operators.ordering import running_totals
 from panelwright.storage import materialize
 
 SHINGLE = 5
@@ -426,15 +426,28 @@ def candidate_clusters(members: DataFrame, percent: int) -> DataFrame:
     return components(edges.select("a", F.col("node").alias("b")))
 
 
-def links(members: DataFrame, clusters: DataFrame, percent: int, block: int = 2048) -> DataFrame:
-    """Edges (a, b) between nodes that span every group of linked sets."""
-    spark = members.sparkSession
+def placed_sets(members: DataFrame, clusters: DataFrame, block: int, shingles: int) -> DataFrame:
+    """node, n, root and the block of every set; the blocks of a cluster are in order of size.
+
+    A block has at most ``block`` sets, and fewer than ``shingles`` shingles besides its last set: a set counts as its
+    shingles, or as its share of a full block if that is more, and the running total is cut at even steps.
+    """
     slim = members.select("node", "n").join(clusters, "node")
-    ranked = materialize(row_ranks(slim, ["root", "n", "node"], "_rank"), "ranked")
-    first = ranked.groupBy("root").agg(F.min("_rank").alias("_first"))
-    placed = ranked.join(first, "root").select(
-        "node", "n", "root", F.floor((F.col("_rank") - F.col("_first")) / block).alias("block")
-    )
+    weighed = slim.withColumn("_weight", F.greatest(F.col("n").cast("bigint"), F.lit(-(-shingles // block)).cast("bigint")))
+    summed = materialize(running_totals(weighed, ["root", "n", "node"], {"_total": "_weight"}), "ranked")
+    start = F.col("_total").cast("bigint") - F.col("_weight")
+    first = summed.groupBy("root").agg(F.min(start).alias("_first"))
+    at = F.floor((start - F.col("_first")) / shingles)
+    return summed.join(first, "root").select("node", "n", "root", at.alias("block"))
+
+
+def links(members: DataFrame, clusters: DataFrame, percent: int, block: int = 2048, shingles: int = 1 << 21) -> DataFrame:
+    """Edges (a, b) between nodes that span every group of linked sets.
+
+    A task holds two blocks, which are bounded by sets and by shingles, 16 MB each besides their last sets.
+    """
+    spark = members.sparkSession
+    placed = placed_sets(members, clusters, block, shingles)
     blocks = placed.groupBy("root", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     other = blocks.select("root", F.col("block").alias("with"), F.col("low").alias("low_2"), F.col("high").alias("high_2"))
     # Blocks are in order of size: a later block is too large once its smallest set is.

@@ -209,6 +209,21 @@ def test_signature_trees_lose_no_link(sets, cut):
         assert roots.tolist() == want
 
 
+def test_blocks_are_bounded_by_sets_and_shingles(spark):
+    rnd = random.Random(12)
+    rows = [(i, rnd.choice([5, 40, 900, 7000]), i % 2) for i in range(600)]
+    sets = spark.createDataFrame(rows, "node bigint, n int, root bigint")
+    placed = jaccard.placed_sets(sets.select("node", "n"), sets.select("node", "root"), 64, 8192).collect()
+    assert sorted((r.node, r.n, r.root) for r in placed) == sorted(rows)
+    by = defaultdict(list)
+    for r in placed:
+        by[r.root, r.block].append(r.n)
+    assert all(len(x) <= 64 and sum(x) - max(x) < 8192 for x in by.values())
+    for root in (0, 1):
+        order = [by[k] for k in sorted(by) if k[0] == root]
+        assert all(max(x) <= min(y) for x, y in zip(order, order[1:], strict=False)) and max(map(len, order)) > 40
+
+
 def test_first_pass_keeps_every_set_with_a_partner():
     n = np.arange(1, 3000)
     least = jaccard.least_overlap(n, 75)
