@@ -54,7 +54,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0
     shared = F.sum("source_size").over(everything) - F.coalesce(F.sum("_cap").over(by_cap), F.lit(0.0))
     table = sizes.withColumns({"_weight": weight, "_cap": cap}).withColumn("_full", F.col("_cap") / F.col("_weight"))
     table = table.withColumn("_level", shared / left("_weight"))
-    fits = F.when(F.col("_full") >= F.col("_level"), F.struct("_full", "_level"))
+    # Of the sources whose cap the level does not reach, the first by cap / weight has the right level. Sources that tie
+    # there are told apart by their place in the order, not by their levels, which subtract the tied caps one by one.
+    table = table.withColumn("_place", F.row_number().over(Window.orderBy("_full", F.col("source").asc_nulls_last())))
+    fits = F.when(F.col("_full") >= F.col("_level"), F.struct("_place", "_level"))
     table = table.withColumn("_level", F.min(fits).over(everything)["_level"])
     target = F.least(F.col("_cap"), F.col("_level") * F.col("_weight"))
     return table.select("source", "source_size", F.coalesce(target, F.col("_cap"), F.lit(0.0)).alias("target"))

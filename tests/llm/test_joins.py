@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -38,13 +38,28 @@ def targets_by_hand(sizes, most=3.0):
         fixed |= over
 
 
-@settings(max_examples=12, deadline=None)
-@given(st.dictionaries(st.one_of(st.none(), st.text("aé\x7f😀", min_size=1, max_size=2)), st.integers(0, 1000), min_size=1, max_size=9))
+@settings(max_examples=40, deadline=None)
+@given(st.dictionaries(st.one_of(st.none(), st.text("aé\x7f😀", min_size=1, max_size=2)),
+                       st.one_of(st.integers(0, 1000), st.integers(0, 4)), min_size=1, max_size=9))
+@example({"a": 2, "b": 4})
+@example({"a": 100, "b": 200, "c": 300})
+@example({"a": 0, "b": 0})
+@example({"a": 10, "b": 20, "c": 30, "d": 1, None: 2})
 def test_targets_against_a_loop(spark, sizes):
     rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size bigint")
     got = {r.source: r.target for r in mixing.source_targets(rows).collect()}
     want = targets_by_hand(sizes)
     assert set(got) == set(want) and all(abs(got[s] - want[s]) < 1e-6 * (1 + want[s]) for s in want)
+    assert min(got.values()) >= 0 and abs(sum(got.values()) - sum(sizes.values())) < 1e-6 * (1 + sum(sizes.values()))
+
+
+def test_tied_sources_are_kept(spark):
+    rows = [(i, " ".join(["w"] * 10), "a" if i < 10 else "b") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    mixed = mixing.mix(docs).collect()
+    assert {r.source: r.target for r in mixed} == {"a": 100.0, "b": 200.0}
+    assert sum(r.taken for r in mixed) == 300
+    assert mixing.repeat_documents(docs).count() == 30
 
 
 def test_mix_of_skewed_sources(spark):
