@@ -163,3 +163,34 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelwright.llm.html_text import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+_TRIE = r"""
+WITH t AS (
+  SELECT conv_id AS c, struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(x ORDER BY i) AS xs FROM t GROUP BY c),
+h AS (
+  SELECT c, xs, xor(4294967295, list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+           lambda a, b: list_reduce([CAST(k AS BIGINT) FOR k IN range(8)],
+             lambda v, k: xor(v >> 1, (v & 1) * 3988292384), xor(a, b)), CAST(4294967295 AS BIGINT))) % 9 AS h FROM o),
+r AS (SELECT h.c, list_concat(coalesce(b.xs[1:h.h], []), h.xs[h.h + 1:]) AS xs FROM h LEFT JOIN o b ON b.c = h.c - h.c % 5),
+m AS (SELECT c, xs, d, xs[1:d] AS p FROM (SELECT c, xs, unnest(range(len(xs) + 1)) AS d FROM r)),
+n AS (
+  SELECT p, d, min(c) AS c, count(*) AS n, coalesce(strlen(p[d].text), 0) AS b, count(*) FILTER (len(xs) > d) AS onward,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(xs) = d), '')) AS ends FROM m GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM n WHERE d > 0 GROUP BY 1),
+s AS (SELECT n.p[1:u.a] AS p, count(*) FILTER (n.onward = 0) AS leaves, sum((n.n - 1) * n.b) AS saved
+      FROM n, LATERAL (SELECT unnest(range(n.d + 1)) AS a) u GROUP BY 1)
+SELECT n.c AS conv_id, n.d AS depth, q.c AS parent_conv_id, n.n AS n_convs, coalesce(k.n, 0) AS n_children,
+       s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM n LEFT JOIN n q ON n.d > 0 AND q.d = n.d - 1 AND q.p = n.p[1:n.d - 1] LEFT JOIN k ON k.p = n.p JOIN s ON s.p = n.p"""
+
+
+@query("op11_prefix_trie", _TRIE)
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    from panelwright.llm.prefix_trie import prefix_trie as run
+
+    return run(table(spark, sf_dir, "conversations")).drop("node", "parent")
