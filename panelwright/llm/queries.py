@@ -194,3 +194,19 @@ def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelwright.llm.prefix_trie import prefix_trie as run
 
     return run(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
+@query("op12_balanced_shards")
+def balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and place of every document, with equal texts together and shards of equal bytes."""
+    from panelwright.llm.sharding import shard_documents
+
+    return shard_documents(table(spark, sf_dir, "documents"), shards=8, law="bytes")
+
+
+@query("op13_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two vocabularies cut every document, and how common its linked ids are."""
+    from panelwright.llm.alignment import align_documents
+
+    return align_documents(table(spark, sf_dir, "documents"))
