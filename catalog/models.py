@@ -108,14 +108,10 @@ def feature_importance(spark, sf_dir) -> DataFrame:
                   top=[f in top for f in ranked], group_importance=[scores.get(f) for f in ranked])
 
 
-def _scorer(p: validation.Problem, nfold: int = FOLDS):
-    p = replace(p, parallelism=1)
-
-    def score(names: list[str]) -> selection.Score:
-        found = validation.cross_validate(p, names, nfold, refit=False)
-        return selection.Score(found.score, found.score_std or 0.0)
-
-    return score
+def _vectors(p: validation.Problem, features) -> validation.Problem:
+    """The problem with all features in one stored vector."""
+    rows, matrix = models.stored_matrix(p.rows, features, [p.time, p.target])
+    return replace(p, rows=rows, matrix=matrix)
 
 
 def _tester(p: validation.Problem):
@@ -124,8 +120,9 @@ def _tester(p: validation.Problem):
 
 @query("rank_features")
 def rank_features(spark, sf_dir) -> DataFrame:
-    p = problem(spark, sf_dir, QUICK)
-    ranking = selection.rank_groups(_scorer(p), ["checkout_price", "homepage_featured"], all_groups(), 10, _tester(p), p.parallelism)
+    p = _vectors(problem(spark, sf_dir, QUICK), selection.union(*all_groups()))
+    scores = validation.CvScores(p, FOLDS)
+    ranking = selection.rank_groups(scores, ["checkout_price", "homepage_featured"], all_groups(), 10, _tester(p), p.parallelism)
     return report(
         spark, place=list(range(1, len(ranking.ranked) + 1)), names=[" ".join(g) for g, _ in ranking.ranked],
         score=[s for _, s in ranking.ranked], test=ranking.tests, kept=[g in ranking.groups for g, _ in ranking.ranked],
@@ -135,11 +132,13 @@ def rank_features(spark, sf_dir) -> DataFrame:
 @query("feature_selection")
 def feature_selection(spark, sf_dir) -> DataFrame:
     """Forward and backward steps over all groups, from the five most important features."""
-    p, groups = problem(spark, sf_dir, QUICK), all_groups()
+    groups = all_groups()
+    p = _vectors(problem(spark, sf_dir, QUICK), selection.union(*groups))
     importances = validation.validate(p, selection.union(*groups)).importances()
     start = selection.most_important(importances, 5)
     chosen = selection.forward_backward(
-        _scorer(p), start, groups, selection.group_importances(groups, importances), tester=_tester(p), num_stds=1.0
+        validation.CvScores(p, FOLDS), start, groups, selection.group_importances(groups, importances), tester=_tester(p),
+        num_stds=1.0, parallelism=p.parallelism,
     )
     last = selection.Step("chosen", chosen.features, chosen.score, chosen.test)
     steps = [selection.Step("start", start, float("nan")), *chosen.steps, last]
@@ -177,33 +176,46 @@ def compare_lags(spark, sf_dir) -> DataFrame:
     return report(spark, horizon=list(horizon), variant=list(variant), score_test=list(test), score_cv=list(cv))
 
 
-def _forecasts(spark, sf_dir, root: str | None = None) -> tuple[validation.Problem, DataFrame]:
-    p = forecast.lag_problem(lag_problem(spark, sf_dir, PARAMS), SPEC, SPECS)
+def _lagged(spark, sf_dir) -> validation.Problem:
+    """Features and all lag columns of all horizons as one vector, stored by period."""
+    return forecast.lag_problem(lag_problem(spark, sf_dir, PARAMS), SPEC, SPECS, START)
+
+
+def _forecasts(spark, sf_dir, root: str | None = None) -> DataFrame:
+    """Point forecasts of both stages, and the regions that the intervals of the final stage go by."""
+    p = _lagged(spark, sf_dir)
     banks = forecast.fit_horizons(p, SPECS, START, root)
-    return p, materialize(forecast.forecast_horizons(p, SPEC, banks), "forecasts")
+    return materialize(forecast.forecast_horizons(p, SPEC, banks, {"final": banks}), "forecasts")
 
 
 @query("forecast_direct")
 def forecast_direct(spark, sf_dir) -> DataFrame:
-    return _forecasts(spark, sf_dir)[1].select("stage", "horizon", "id", "week", "forecast")
+    return _forecasts(spark, sf_dir).select("stage", "horizon", "id", "week", "forecast")
 
 
 @query("forecast_interval")
 def forecast_interval(spark, sf_dir) -> DataFrame:
-    _, found = _forecasts(spark, sf_dir)
-    moved = forecast.interval_forecasts(found, forecast.residual_quantiles(found, ALPHAS), SPEC)
+    found = _forecasts(spark, sf_dir)
+    final = found.where("stage = 'final'")
+    moved = forecast.region_intervals(final, forecast.region_quantiles(found, ALPHAS), SPEC, ALPHAS)
     path = new_path(spark, "forecasts")
-    writers.write_forecasts(forecast.all_forecasts(found, moved), path)
+    writers.write_forecasts(forecast.all_forecasts(final, moved), path)
     return writers.read_forecasts(spark, path, stage="final").select("stage", "alpha", "horizon", "id", "week", "forecast")
 
 
-def _with_intervals(spark, sf_dir) -> DataFrame:
-    """Point and quantile forecasts of both stages; each stage's intervals come from errors before it."""
-    p, found = _forecasts(spark, sf_dir)
+def everything_forecast(p: validation.Problem, specs, features) -> tuple[DataFrame, DataFrame]:
+    """Point and quantile forecasts of both stages; each stage's intervals come from errors before it, by region."""
     before = forecast.earlier(p)
-    past = forecast.forecast_horizons(before, SPEC, forecast.fit_horizons(before, SPECS, START, future=False))
-    shifts = forecast.residual_quantiles(found, ALPHAS, "final").unionByName(forecast.residual_quantiles(past, ALPHAS, "test"))
-    return forecast.all_forecasts(found, forecast.interval_forecasts(found, shifts, SPEC))
+    tasks = [lambda: forecast.fit_horizons(p, specs, features), lambda: forecast.fit_horizons(before, specs, features, future=False)]
+    banks, past_banks = validation.run_together(tasks, 2)
+    found = materialize(forecast.forecast_horizons(p, SPEC, banks, {"final": banks, "test": past_banks}), "forecasts")
+    past = forecast.forecast_horizons(before, SPEC, past_banks)
+    shifts = forecast.region_quantiles(found, ALPHAS, "final").unionByName(forecast.region_quantiles(past, ALPHAS, "test"))
+    return found, forecast.region_intervals(found, shifts, SPEC, ALPHAS)
+
+
+def _with_intervals(spark, sf_dir) -> DataFrame:
+    return forecast.all_forecasts(*everything_forecast(_lagged(spark, sf_dir), SPECS, START))
 
 
 @query("forecast_scores")
@@ -219,12 +231,8 @@ def forecast_scores(spark, sf_dir) -> DataFrame:
 
 def _stage_baseline(spark, sf_dir) -> DataFrame:
     """Series means known at the origin of each stage, for the rows that stage forecasts."""
-    rows, parts = fixture.with_future(spark, sf_dir), []
-    for stage, origin in (("test", BOUNDS.train_time), ("final", BOUNDS.test_time)):
-        ahead = time_slice(rows, SPEC.time, origin, origin + BOUNDS.tstep)
-        means = scoring.mean_baseline(time_slice(rows, SPEC.time, upto=origin), ahead, KEYS, SPEC.target)
-        parts.append(means.select(F.lit(stage).alias("stage"), SPEC.id, *KEYS, SPEC.time, scoring.FORECAST))
-    return parts[0].unionByName(parts[1])
+    stages = {"test": (BOUNDS.train_time, BOUNDS.test_time), "final": (BOUNDS.test_time, BOUNDS.end)}
+    return scoring.origin_baseline(fixture.with_future(spark, sf_dir), SPEC, stages).drop(scoring.ACTUAL)
 
 
 @query("forecast_compare")
@@ -307,6 +315,41 @@ def stump_intervals(spark, sf_dir) -> DataFrame:
     return _stump_everything(spark, sf_dir).select("stage", "alpha", "id", F.round("forecast", 5).alias("forecast"))
 
 
+# Back-test errors of the stump by horizon and side of its split, and the quantiles that a side of 20 errors or more has.
+_SIDES, _SIDES_EARLY = (x.replace("p.week, ", "p.week, p.homepage_featured AS side, ") for x in (_STUMP, _STUMP_EARLY))
+_BY_SIDE = f"""
+WITH e AS (SELECT 'final' AS stage, horizon, side, log_actual - mean AS r FROM ({_SIDES}) WHERE stage = 'test'
+  UNION ALL SELECT 'test', horizon, side, log_actual - mean FROM ({_SIDES_EARLY})),
+q AS (SELECT stage, horizon, side, quantile_cont(r, [0.05, 0.5, 0.95]) AS q FROM e GROUP BY ALL HAVING count(*) >= 20),
+w AS (SELECT stage, horizon, quantile_cont(r, [0.05, 0.5, 0.95]) AS q FROM e GROUP BY ALL),
+f AS (SELECT f.*, coalesce(q.q, w.q) AS q FROM ({_SIDES}) f JOIN w USING (stage, horizon)
+      LEFT JOIN q ON q.stage = f.stage AND q.horizon = f.horizon AND q.side = f.side),
+i AS (SELECT *, unnest(['0.05', '0.5', '0.95']) AS alpha, unnest(q) AS shift FROM f)
+SELECT stage, horizon, alpha, id, num_orders, exp(greatest(mean + shift, 0)) - 1 AS forecast FROM i"""
+
+
+def _stump_regions(spark, sf_dir) -> DataFrame:
+    return everything_forecast(stump_problem(spark, sf_dir), STUMP_SPECS, [FLAG])[1]
+
+
+@query("stump_region_intervals", "panel", sql=f"""
+SELECT stage, horizon, alpha, id, round(forecast, 5) AS forecast FROM ({_BY_SIDE})""")
+def stump_region_intervals(spark, sf_dir) -> DataFrame:
+    """Quantile forecasts by the leaf of a tree with two leaves."""
+    return _stump_regions(spark, sf_dir).select("stage", "horizon", "alpha", "id", F.round("forecast", 5).alias("forecast"))
+
+
+@query("stump_coverage", "panel", sql=f"""
+SELECT stage, alpha, count(*) AS rows, count(*) FILTER (num_orders < round(forecast, 5)) AS below
+FROM ({_BY_SIDE}) GROUP BY stage, alpha""")
+def stump_coverage(spark, sf_dir) -> DataFrame:
+    """How many targets lie below each quantile forecast, by stage."""
+    truth = fixture.panel(spark, sf_dir)
+    pairs = joins.align(truth, _stump_regions(spark, sf_dir).select("stage", "alpha", "id", "forecast"), SPEC.id, SPEC.target)
+    below = F.count(F.when(F.col(scoring.ACTUAL) < F.round(scoring.FORECAST, 5), 1))
+    return pairs.groupBy("stage", "alpha").agg(F.count(F.lit(1)).alias("rows"), below.alias("below"))
+
+
 @query("stump_scores", "panel", sql=f"""
 SELECT stage, alpha, count(*) AS rows, round(1 - avg((num_orders - forecast) ** 2) / var_pop(num_orders), 6) AS r2,
        round(sqrt(avg((num_orders - forecast) ** 2)), 6) AS rmse,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import query
 from panelwright.functions.columns import log_target
-from panelwright.operators import joins, scoring, splits
+from panelwright.operators import scoring, splits
 from panelwright.operators.quantiles import quantiles
 from panelwright.sources import fixture
 
@@ -16,17 +16,14 @@ KEYS = list(SPEC.keys)
 
 
 def scored(spark, sf_dir) -> DataFrame:
-    """Future rows with the series-mean forecast and the truth."""
-    parts = fixture.split(spark, sf_dir)
-    forecasts = scoring.mean_baseline(parts.history, parts.future, KEYS, SPEC.target)
-    return joins.align(parts.truth, forecasts.drop(SPEC.target), SPEC.id, SPEC.target)
+    """Future rows with the series-mean forecast and the truth, from one pass over the panel."""
+    stage = {"final": (BOUNDS.test_time, BOUNDS.end)}
+    return scoring.origin_baseline(fixture.panel(spark, sf_dir), SPEC, stage).drop("stage")
 
 
 @query("forecast_baseline", "baseline", sql="SELECT id, week, center_id, meal_id, forecast FROM baseline")
 def forecast_baseline(spark, sf_dir) -> DataFrame:
-    parts = fixture.split(spark, sf_dir)
-    rows = parts.future.select("id", "week", *KEYS)
-    return scoring.mean_baseline(parts.history, rows, KEYS, SPEC.target)
+    return scored(spark, sf_dir).select("id", "week", *KEYS, scoring.FORECAST)
 
 
 @query("score_rmse", "scored", sql="SELECT round(sqrt(avg((actual - forecast) * (actual - forecast))), 8) AS rmse FROM scored")

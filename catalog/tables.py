@@ -234,18 +234,18 @@ def backfill_truth(spark, sf_dir) -> DataFrame:
 
 
 def baseline(spark, sf_dir) -> DataFrame:
-    parts = fixture.split(spark, sf_dir)
-    return scoring.mean_baseline(parts.history, parts.future.drop(SPEC.target), KEYS, SPEC.target).select(
-        "id", "week", *KEYS, scoring.FORECAST
-    )
+    stage = {"final": (BOUNDS.test_time, BOUNDS.end)}
+    found = scoring.origin_baseline(fixture.with_future(spark, sf_dir), SPEC, stage)
+    return found.select("id", "week", *KEYS, scoring.FORECAST)
 
 
 @query("submission", "baseline", sql="""
 SELECT id, CAST(round_even(forecast, 0) AS BIGINT) AS num_orders FROM baseline ORDER BY id""")
 def submission(spark, sf_dir) -> DataFrame:
-    parts = fixture.split(spark, sf_dir)
-    forecasts = baseline(spark, sf_dir).withColumnRenamed(scoring.FORECAST, SPEC.target)
-    return writers.submission(parts.truth, forecasts, SPEC.id, SPEC.target, [SPEC.id])
+    # Stored, as the ids of the template and the forecasts come from the same pass.
+    stored = materialize(baseline(spark, sf_dir), "baseline")
+    forecasts = stored.withColumnRenamed(scoring.FORECAST, SPEC.target)
+    return writers.submission(stored.select(SPEC.id), forecasts, SPEC.id, SPEC.target, [SPEC.id])
 
 
 @query("time_bounds", "panel", sql="""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.operators.quantiles import quantiles
+from panelwright.spec import PanelSpec
 from panelwright.storage import materialize
 
 ACTUAL, FORECAST = "actual", "forecast"
@@ -121,3 +122,39 @@ def mean_baseline(history: DataFrame, rows: DataFrame, keys: Sequence[str], targ
     """Forecast the mean known target of the series; NULL for a series without history."""
     means = history.groupBy(*keys).agg(F.avg(target).alias(out))
     return rows.join(means, list(keys), "left").select(*rows.columns, out)
+
+
+def origin_baseline(
+    rows: DataFrame, panel: PanelSpec, stages: dict[str, tuple[int, int]], columns: Sequence[str] = (), out: str = FORECAST
+) -> DataFrame:
+    """Series means known at the origin of each stage, for the rows that the stage forecasts, from one pass over ``rows``.
+
+    ``stages`` maps a name to (origin, last period). Returns stage, id, keys, time, ``columns``, the target as ``actual``,
+    and the mean target of the series up to the origin, which is NULL for a series without history or without a key.
+    A row appears once for every stage that forecasts it. Where the panel bounds the rows of a series, the sums carry the
+    later rows of their series along; otherwise a series may be too long for that, and slim rows, stored once, are joined.
+    """
+    keys, t, y = list(panel.keys), F.col(panel.time), F.col(panel.target)
+    kept = list(dict.fromkeys([panel.id, panel.time, *columns]))
+    first, last = min(o for o, _ in stages.values()), max(e for _, e in stages.values())
+    ahead = (t > first) & (t <= last)
+    slim = rows.select(*dict.fromkeys([*keys, *kept, panel.target])).where(t <= last)
+    means = {name: f"_mean_{i}" for i, name in enumerate(stages)}
+    sums = [F.avg(F.when(t <= origin, y)).alias(means[name]) for name, (origin, _) in stages.items()]
+    if panel.max_rows is None:
+        slim = materialize(slim, "baseline-rows")
+        wide = slim.where(ahead).join(slim.groupBy(*keys).agg(*sums), keys, "left")
+    else:
+        later = F.collect_list(F.when(ahead, F.struct(*kept, y.alias("_y")))).alias("_later")
+        wide = slim.groupBy(*keys).agg(*sums, later).select(*keys, *means.values(), F.inline("_later"))
+        wide = wide.withColumnRenamed("_y", panel.target)
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    parts = []
+    for name, (origin, end) in stages.items():
+        mine = F.when(keyed, F.col(means[name])).alias(out)
+        parts.append(F.when((t > origin) & (t <= end), F.struct(F.lit(name).alias("stage"), mine)))
+    unfolded = F.inline(F.filter(F.array(*parts), lambda p: p.isNotNull()))
+    found = wide.select(*wide.columns, unfolded)
+    return found.select("stage", panel.id, *keys, panel.time, *[c for c in kept if c not in (panel.id, panel.time, *keys)], y.alias(ACTUAL), out)

@@ -15,13 +15,16 @@ from panelwright.operators.quantiles import quantiles
 from panelwright.operators.rows import time_slice
 from panelwright.operators.scoring import FORECAST
 from panelwright.operators.splits import Bounds
-from panelwright.plans.models import Fitted, fit_trees, model_path
+from panelwright.plans.ledger import Ledger
+from panelwright.plans.models import Fitted, fit_trees, model_path, stored_matrix
 from panelwright.plans.validation import Problem, run_together, validate
 from panelwright.spec import PanelSpec
 from panelwright.storage import materialize
 
 LOG_FORECAST = "log_forecast"
 POINT = "l2"
+#: Errors that a region needs for quantiles of its own, unless told otherwise: one beyond a quantile of 0.05.
+LEAST_ERRORS = 20
 
 
 @dataclass
@@ -32,12 +35,6 @@ class Bank:
     test: Fitted
     final: Fitted | None
 
-    def save(self, spark: SparkSession, root: str) -> None:
-        horizon = None if self.spec is None else self.spec.horizon
-        self.test.save(spark, model_path(root, "test", horizon, POINT))
-        if self.final is not None:
-            self.final.save(spark, model_path(root, "final", horizon, POINT))
-
 
 def earlier(problem: Problem) -> Problem:
     """The same problem one forecast length earlier; its back-test lies before the one of the problem."""
@@ -45,53 +42,78 @@ def earlier(problem: Problem) -> Problem:
     return replace(problem, bounds=Bounds(b.start, b.train_time - b.tstep, b.train_time, b.test_time))
 
 
-def fit_bank(problem: Problem, spec: LagSpec | None, features: Sequence[str], future: bool = True) -> Bank:
+def fit_bank(
+    problem: Problem, spec: LagSpec | None, features: Sequence[str], future: bool = True, root: str | None = None,
+    done: Ledger | None = None,
+) -> Bank:
     """Find the number of rounds on held-out parts, then refit for the back-test and, if asked, for the future.
 
     The back-test takes its rounds from a validation one forecast length earlier, so its errors are not those that
     stopped its own boosting. Refits see more periods than the validated model, so their rounds grow in proportion.
-    Where no period is left to train such a validation on, boosting runs all its rounds.
+    Where no period is left to train such a validation on, boosting runs all its rounds. With a ``root`` models are saved
+    below it, and what the ledger ``done`` says is there is loaded instead of fitted.
     """
-    t, gap = problem.time, spec.gap if spec else 0
+    t, gap, spark = problem.time, spec.gap if spec else 0, problem.rows.sparkSession
+    horizon = None if spec is None else spec.horizon
     parts = {"test": earlier(problem)} | ({"final": problem} if future else {})
 
     def fit(part: Problem) -> Fitted:
         upto, seen = part.bounds.test_time, part.bounds.train_time - gap
         train = time_slice(problem.rows, t, upto=upto)
         if seen < part.bounds.start:
-            return fit_trees(train, features, problem.target, problem.params)
+            return fit_trees(train, features, problem.target, problem.params, matrix=problem.matrix)
         checked = validate(part, features, gap)
         rounds = max(1, int(checked.rounds * upto / seen))
-        fitted = fit_trees(train, features, problem.target, problem.params, rounds=rounds)
+        fitted = fit_trees(train, features, problem.target, problem.params, rounds=rounds, matrix=problem.matrix)
         fitted.scores = checked.scores
         return fitted
 
-    done = dict(zip(parts, run_together([lambda p=p: fit(p) for p in parts.values()], len(parts)), strict=True))
-    return Bank(spec, done["test"], done.get("final"))
+    def saved(stage: str) -> Fitted:
+        if root is None:
+            return fit(parts[stage])
+        path = model_path(root, stage, horizon, POINT)
+        step = {"saved": stage, "horizon": horizon, "alpha": POINT, "features": list(features)}
+        if done is not None and done.get(step):
+            return Fitted.load(spark, path)
+        fitted = fit(parts[stage])
+        fitted.save(spark, path)
+        if done is not None:
+            done.put(step, True)  # only now is the model whole
+        return fitted
+
+    found = dict(zip(parts, run_together([lambda s=s: saved(s) for s in parts], len(parts)), strict=True))
+    return Bank(spec, found["test"], found.get("final"))
 
 
-def lag_problem(problem: Problem, panel: PanelSpec, specs: Sequence[LagSpec]) -> Problem:
+def lag_problem(problem: Problem, panel: PanelSpec, specs: Sequence[LagSpec], features: Sequence[str] | None = None) -> Problem:
     """The problem with the lag columns of all horizons, computed in one shuffle and stored by period.
 
-    Fits and forecasts filter on the period and open only its files.
+    Fits and forecasts filter on the period and open only its files. With ``features`` these and all lag columns are
+    stored as one vector, which every fit of every horizon and stage shares, next to id, keys, period and target.
     """
-    wide = add_lags(problem.rows, panel, specs, problem.bounds.tstep)
-    return replace(problem, rows=materialize(wide, "all-lags", partition_by=problem.time))
+    tstep = problem.bounds.tstep
+    wide = add_lags(problem.rows, panel, specs, tstep)
+    if features is None:
+        return replace(problem, rows=materialize(wide, "all-lags", partition_by=problem.time))
+    names = sorted({n for s in specs for n in lag_frames(s, tstep)})
+    keep = [panel.id, *panel.keys, panel.time, problem.target]
+    rows, matrix = stored_matrix(wide, [*features, *names], keep, partition_by=problem.time)
+    return replace(problem, rows=rows, matrix=matrix)
 
 
 def fit_horizons(
     problem: Problem, specs: Sequence[LagSpec], features: Sequence[str], root: str | None = None, future: bool = True
 ) -> list[Bank]:
-    """Fit every horizon; ``problem`` holds all lag columns. Models are saved below ``root`` if given."""
+    """Fit every horizon; ``problem`` holds all lag columns.
+
+    With a ``root`` every finished model is saved below it and recorded there, so that a second run on the same data goes
+    on where the first one stopped: it loads what is whole and fits the rest.
+    """
     tstep = problem.bounds.tstep
-    tasks = [
-        lambda s=s: fit_bank(replace(problem, parallelism=1), s, [*features, *lag_frames(s, tstep)], future) for s in specs
-    ]
-    banks = run_together(tasks, problem.parallelism)
-    if root is not None:
-        for bank in banks:
-            bank.save(problem.rows.sparkSession, root)
-    return banks
+    done = None if root is None else Ledger(problem.rows.sparkSession, f"{root}/finished")
+    alone = replace(problem, parallelism=1)
+    tasks = [lambda s=s: fit_bank(alone, s, [*features, *lag_frames(s, tstep)], future, root, done) for s in specs]
+    return run_together(tasks, problem.parallelism)
 
 
 def load_bank(spark: SparkSession, root: str, spec: LagSpec) -> Bank:
@@ -99,23 +121,33 @@ def load_bank(spark: SparkSession, root: str, spec: LagSpec) -> Bank:
     return Bank(spec, load("test"), load("final"))
 
 
-def forecast_horizons(problem: Problem, panel: PanelSpec, banks: Sequence[Bank]) -> DataFrame:
+def forecast_horizons(
+    problem: Problem, panel: PanelSpec, banks: Sequence[Bank], guides: dict[str, Sequence[Bank]] | None = None
+) -> DataFrame:
     """Forecasts of both stages: each horizon's model predicts only the period that lies so far ahead.
 
-    Columns: stage, horizon, id, keys, time, the forecast in log form and back-transformed.
+    Columns: stage, horizon, id, keys, time, the target and the forecast in log form, the forecast back-transformed, and
+    ``own_region``, the leaf of the forecasting model. ``guides`` gives for a stage the banks whose back-test errors its
+    intervals come from; ``region`` is the leaf that their back-test model puts the row into, NULL for other stages.
     """
     parts = []
-    for bank in banks:
+    guides = guides or {}
+    for place, bank in enumerate(banks):
         for stage, fitted, back_test in (("test", bank.test, True), ("final", bank.final, False)):
             if fitted is None:
                 continue
             ahead = problem.bounds.origin(back_test) + bank.spec.horizon
             rows = problem.rows.where(F.col(problem.time) == ahead)
+            found = fitted.predict(rows, LOG_FORECAST, "own_region", problem.matrix)
+            if stage in guides:
+                found = guides[stage][place].test.predict(found, "_guided", "region", problem.matrix).drop("_guided")
+            else:
+                found = found.withColumn("region", F.lit(None).cast("int"))
             parts.append(
-                fitted.predict(rows, LOG_FORECAST).select(
+                found.select(
                     F.lit(stage).alias("stage"), F.lit(bank.spec.horizon).alias("horizon"),
                     panel.id, *panel.keys, panel.time, F.col(problem.target).alias("log_actual"), LOG_FORECAST,
-                    invert_log_target(LOG_FORECAST).alias(FORECAST),
+                    invert_log_target(LOG_FORECAST).alias(FORECAST), "own_region", "region",
                 )
             )
     return reduce(DataFrame.unionByName, parts)
@@ -149,6 +181,47 @@ def interval_forecasts(forecasts: DataFrame, shifts: DataFrame, panel: PanelSpec
     )
 
 
+def region_quantiles(
+    forecasts: DataFrame, alphas: Sequence[float], stage: str = "final", least: int = LEAST_ERRORS
+) -> DataFrame:
+    """Quantiles of the back-test errors by horizon and region, for one stage: (stage, horizon, region, shifts).
+
+    A region is a leaf of the first tree of the model that made the errors, so rows whose demand varies more get wider
+    bands. Regions with fewer than ``least`` errors have no row; the row with region NULL holds the quantiles of the whole
+    horizon, for these and for leaves that no error reached. ``shifts`` is in the order of ``alphas``.
+    """
+    errors = forecasts.where((F.col("stage") == "test") & F.col("log_actual").isNotNull()).select(
+        "horizon", F.col("own_region").alias("region"), (F.col("log_actual") - F.col(LOG_FORECAST)).alias("residual")
+    )
+    errors = materialize(errors, "errors")
+    names = {f"a{i}": a for i, a in enumerate(alphas)}
+    sizes = errors.groupBy("horizon", "region").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+    # One row per leaf; there are at most horizons x leaves of one tree.
+    local = quantiles(errors, ["horizon", "region"], "residual", names).join(F.broadcast(sizes.drop("_n")), ["horizon", "region"])
+    whole = quantiles(errors, ["horizon"], "residual", names).withColumn("region", F.lit(None).cast("int"))
+    shifts = F.array(*names).alias("shifts")
+    return local.unionByName(whole).select(F.lit(stage).alias("stage"), "horizon", "region", shifts)
+
+
+def region_intervals(forecasts: DataFrame, shifts: DataFrame, panel: PanelSpec, alphas: Sequence[float]) -> DataFrame:
+    """Forecasts at every quantile: the point forecast moved by the error quantile of its stage, horizon and region.
+
+    All quantiles of a row come from the same errors and the back-transform is increasing, so they keep their order. The
+    shift tables have one row per stage, horizon and leaf.
+    """
+    shifts = materialize(shifts, "shifts")
+    local = shifts.where(F.col("region").isNotNull()).withColumnRenamed("shifts", "_local")
+    whole = shifts.where(F.col("region").isNull()).select("stage", "horizon", F.col("shifts").alias("_whole"))
+    placed = forecasts.join(F.broadcast(whole), ["stage", "horizon"]).join(F.broadcast(local), ["stage", "horizon", "region"], "left")
+    chosen = F.coalesce("_local", "_whole")
+    cells = F.array(*[F.struct(F.lit(str(a)).alias("alpha"), chosen[i].alias("shift")) for i, a in enumerate(alphas)])
+    moved = placed.select("*", F.inline(cells))
+    return moved.select(
+        "stage", "horizon", "alpha", panel.id, *panel.keys, panel.time, "log_actual",
+        invert_log_target(F.col(LOG_FORECAST) + F.col("shift")).alias(FORECAST),
+    )
+
+
 def all_forecasts(forecasts: DataFrame, intervals: DataFrame) -> DataFrame:
     """Point and quantile forecasts as one long table with column ``alpha``."""
     point = forecasts.withColumn("alpha", F.lit(POINT)).select(*intervals.columns)

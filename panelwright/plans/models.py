@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from panelwright.functions.names import quoted
 from panelwright.operators.scoring import r2
 from panelwright.sources.writers import read_settings, write_settings
-from panelwright.storage import shared_folder
+from panelwright.storage import materialize, new_path, shared_folder
 
 # Stands for a missing feature value, below any value a feature may take, so that one split isolates it.
 MISSING = -1e300
@@ -46,14 +47,36 @@ class Fitted:
     def rounds(self) -> int:
         return self.model.getNumTrees
 
-    def predict(self, rows: DataFrame, out: str = "forecast") -> DataFrame:
-        """Add the prediction as column ``out``."""
-        assembled = assemble(rows, self.features)
-        return self.model.transform(assembled).withColumnRenamed("_prediction", out).drop("_features")
+    def predict(self, rows: DataFrame, out: str = "forecast", region: str | None = None, matrix: Matrix | None = None) -> DataFrame:
+        """Add the prediction as column ``out`` and, if named, the leaf of the first tree as column ``region``.
+
+        The first tree alone follows the target itself, so its leaves are the coarsest groups of similar rows.
+        """
+        assembled = assemble(rows, self.features, matrix=matrix)
+        model = self.model if region is None else self.model.copy().setLeafCol("_leaves")
+        found = model.transform(assembled).withColumnRenamed("_prediction", out).drop("_features")
+        if region is None:
+            return found
+        return found.withColumn(region, vector_to_array("_leaves")[0].cast("int")).drop("_leaves")
 
     def importances(self) -> dict[str, float]:
+        """Share of every feature in the gain of all splits."""
         return dict(zip(self.features, (float(v) for v in self.model.featureImportances.toArray()), strict=True))
 
+    def split_counts(self, spark: SparkSession) -> dict[str, int]:
+        """How many inner nodes split by every feature, from the node table of the saved model."""
+        return {f: n for f, n in zip(self.features, _counts(self.nodes(spark), len(self.features)), strict=True)}
+
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        """One row per node of every tree: tree, node, feature (-1 for a leaf), gain, rows, left, right."""
+        path = new_path(spark, "nodes")
+        self.model.write().save(path)
+        node = F.col("nodeData")
+        return spark.read.parquet(f"{path}/data").select(
+            F.col("treeID").alias("tree"), node["id"].alias("node"), node["split"]["featureIndex"].alias("feature"),
+            node["gain"].alias("gain"), node["rawCount"].alias("rows"), node["leftChild"].alias("left"), node["rightChild"].alias("right"),
+        )
+
     def save(self, spark: SparkSession, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         settings = {"features": self.features, "scores": self.scores}
@@ -64,16 +87,47 @@ class Fitted:
         return cls(GBTRegressionModel.load(f"{path}/model"), **read_settings(spark, f"{path}/settings"))
 
 
+def _counts(nodes: DataFrame, features: int) -> list[int]:
+    found = {r["feature"]: r["n"] for r in nodes.where("left >= 0").groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [found.get(i, 0) for i in range(features)]
+
+
+@dataclass(frozen=True)
+class Matrix:
+    """Names of the columns of a stored vector, so that fits cut theirs out by position."""
+
+    places: dict[str, int]
+    column: str = "_all"
+
+    def indices(self, features: Sequence[str]) -> list[int]:
+        return [self.places[f] for f in features]
+
+
+def stored_matrix(rows: DataFrame, features: Sequence[str], keep: Sequence[str], partition_by: str | None = None) -> tuple[DataFrame, Matrix]:
+    """Assemble all ``features`` once and store the vector next to the columns ``keep``.
+
+    Fits on any of the features read it instead of assembling wide rows anew; with ``partition_by`` they open only the
+    files of the periods that they need.
+    """
+    names = list(dict.fromkeys(features))
+    matrix = Matrix({name: i for i, name in enumerate(names)})
+    vector = F.col(matrix.column).alias(matrix.column, metadata={})  # without the names of the parts, which fits would carry along
+    wide = assemble(rows, names, matrix.column).select(*[F.col(quoted(c)) for c in dict.fromkeys(keep)], vector)
+    return materialize(wide, "matrix", partition_by), matrix
+
+
 def model_path(root: str, stage: str, horizon: int | None, alpha: str) -> str:
     """Where the model of a stage, horizon and quantile is stored."""
     return f"{root}/stage={stage}/horizon={'all' if horizon is None else horizon}/alpha={alpha}"
 
 
-def assemble(rows: DataFrame, features: Sequence[str], out: str = "_features") -> DataFrame:
-    """Put the features into one vector column.
+def assemble(rows: DataFrame, features: Sequence[str], out: str = "_features", matrix: Matrix | None = None) -> DataFrame:
+    """Put the features into one vector column, or cut them out of the vector that ``matrix`` describes.
 
     Categories come as codes and are split by the order of the codes, whatever their number; see ``training_frame``.
     """
+    if matrix is not None:
+        return VectorSlicer(inputCol=matrix.column, outputCol=out, indices=matrix.indices(features)).transform(rows)
     inputs = {f: f"_in_{i}" for i, f in enumerate(features)}
     filled = [f"coalesce(cast({quoted(f)} as double), double('{MISSING!r}')) AS {n}" for f, n in inputs.items()]
     wide = rows.selectExpr("*", *filled)
@@ -85,10 +139,14 @@ def fit_trees(
     features: Sequence[str],
     target: str,
     params: TreeParams,
-    validation: DataFrame | None = None,
+    held: str | None = None,
     rounds: int | None = None,
+    matrix: Matrix | None = None,
 ) -> Fitted:
-    """Fit boosted trees with squared loss; boosting stops when validation rows no longer gain."""
+    """Fit boosted trees with squared loss.
+
+    ``held`` names a column that is true for validation rows; boosting stops when these no longer gain.
+    """
     shared_folder(train.sparkSession)  # boosting writes checkpoints to cut its lineage
     features = list(features)
     learner = GBTRegressor(
@@ -97,18 +155,16 @@ def fit_trees(
         minInstancesPerNode=params.min_rows, seed=params.seed, validationTol=params.tolerance,
         maxMemoryInMB=1024, checkpointInterval=10,
     )
-    wanted = [F.col(quoted(c)) for c in dict.fromkeys([*features, target])]
-    rows = train.select(*wanted).where(F.col(quoted(target)).isNotNull())
-    if validation is not None:
-        held = validation.select(*wanted).where(F.col(quoted(target)).isNotNull())
-        rows = rows.withColumn("_held", F.lit(False)).unionByName(held.withColumn("_held", F.lit(True)))
-        learner = learner.setValidationIndicatorCol("_held")
-    return Fitted(learner.fit(assemble(rows, features)), features)
+    wanted = [F.col(quoted(c)) for c in dict.fromkeys([*(features if matrix is None else [matrix.column]), target])]
+    rows = train.where(F.col(quoted(target)).isNotNull()).select(*wanted, *([held] if held else []))
+    if held:
+        learner = learner.setValidationIndicatorCol(held)
+    return Fitted(learner.fit(assemble(rows, features, matrix=matrix)), features)
 
 
-def r2_by(fitted: Fitted, rows: DataFrame, target: str, part: str) -> dict[str, float | None]:
+def r2_by(fitted: Fitted, rows: DataFrame, target: str, part: str, matrix: Matrix | None = None) -> dict[str, float | None]:
     """R2 of the model for every value of the column ``part``, in one pass over the rows that have a target."""
-    scored = fitted.predict(rows.where(F.col(target).isNotNull() & F.col(part).isNotNull()))
+    scored = fitted.predict(rows.where(F.col(target).isNotNull() & F.col(part).isNotNull()), matrix=matrix)
     return {r[part]: r["r2"] for r in scored.groupBy(part).agg(r2(target, "forecast").alias("r2")).collect()}
 
 

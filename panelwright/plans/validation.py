@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import threading
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
-from functools import reduce
+from contextvars import copy_context
+from dataclasses import asdict, dataclass, field, replace
+from functools import partial
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -13,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.operators.rows import time_slice
-from panelwright.operators.scoring import ACTUAL, FORECAST, cv_score, cv_score_spread, variance_score
+from panelwright.operators.scoring import FORECAST, variance_score
 from panelwright.operators.splits import Bounds, fold_starts, gap_roles
-from panelwright.plans.models import Fitted, TreeParams, fit_trees, r2_by
+from panelwright.plans.ledger import Ledger
+from panelwright.plans.models import Fitted, Matrix, TreeParams, fit_trees, r2_by
 
 
 def run_together(tasks: Sequence[Callable[[], Any]], parallelism: int) -> list[Any]:
@@ -23,13 +27,17 @@ def run_together(tasks: Sequence[Callable[[], Any]], parallelism: int) -> list[A
     if parallelism <= 1 or len(tasks) <= 1:
         return [task() for task in tasks]
     inherit = inheritable_thread_target(SparkSession.active())
+    inside = [partial(copy_context().run, inherit(task)) for task in tasks]  # a thread keeps the scratch block it starts in
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(lambda task: task(), [inherit(task) for task in tasks])
+        return pool.map(lambda task: task(), inside, chunksize=1)
 
 
 @dataclass(frozen=True)
 class Problem:
-    """What to predict from which rows: ``target`` may be the logarithm of the demand."""
+    """What to predict from which rows: ``target`` may be the logarithm of the demand.
+
+    With ``matrix`` the rows hold the features as one vector (``models.stored_matrix``), else as columns.
+    """
 
     rows: DataFrame
     time: str
@@ -37,6 +45,7 @@ class Problem:
     bounds: Bounds
     params: TreeParams
     parallelism: int = 4
+    matrix: Matrix | None = None
 
 
 @dataclass
@@ -52,13 +61,63 @@ class CvResult:
 def validate(problem: Problem, features: Sequence[str], gap: int = 0) -> Fitted:
     """Fit on the training part less a gap, stop early on the test part, and score both."""
     roles = gap_roles(problem.rows, problem.time, problem.bounds, gap, out="_role")
-    train, test = (roles.where(F.col("_role") == r) for r in ("train", "test"))
-    fitted = fit_trees(train, features, problem.target, problem.params, validation=test)
-    scores = r2_by(fitted, roles, problem.target, "_role")
+    marked = roles.withColumn("_held", F.col("_role") == "test")
+    fitted = fit_trees(marked, features, problem.target, problem.params, held="_held", matrix=problem.matrix)
+    scores = r2_by(fitted, roles, problem.target, "_role", problem.matrix)
     fitted.scores = {role: scores.get(role) for role in ("train", "test")}
     return fitted
 
 
+@dataclass(frozen=True)
+class FoldFit:
+    """One fold: rounds of its model, and counts, means and variances of targets and errors on its test part."""
+
+    rounds: int
+    rows: int
+    mean: float
+    variance: float
+    error_mean: float
+    error_variance: float
+
+    @property
+    def squared_error(self) -> float:
+        return self.error_variance + self.error_mean**2
+
+
+def fit_fold(problem: Problem, features: Sequence[str], start: int, gap: int) -> FoldFit:
+    """Fit on the past of one test part, which begins after ``start``, and sum up its errors in one pass."""
+    t, target = F.col(problem.time), problem.target
+    wanted = (t <= start - gap) | ((t > start) & (t <= start + problem.bounds.tstep))
+    rows = problem.rows.where(wanted & F.col(target).isNotNull()).withColumn("_held", t > start)
+    fitted = fit_trees(rows, features, target, problem.params, held="_held", matrix=problem.matrix)
+    scored = fitted.predict(rows.where("_held"), FORECAST, matrix=problem.matrix)
+    y, error = F.col(target).cast("double"), F.col(FORECAST) - F.col(target)
+    found = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(y), F.var_pop(y), F.avg(error), F.var_pop(error)).first()
+    return FoldFit(fitted.rounds, found["n"], *[0.0 if v is None else v for v in found[1:]])
+
+
+def pooled_score(folds: Sequence[FoldFit]) -> CvResult:
+    """Variance-form score of all out-of-fold forecasts together, and its standard error over the folds.
+
+    Counts, means and variances of the folds combine to those over all rows, so no forecasts are kept.
+    """
+    n = sum(f.rows for f in folds)
+    rounds = max(1, round(sum(f.rounds for f in folds) / len(folds)))
+
+    def spread(mean: str, variance: str) -> float:
+        middle = sum(f.rows * getattr(f, mean) for f in folds) / n
+        return sum(f.rows * (getattr(f, variance) + (getattr(f, mean) - middle) ** 2) for f in folds) / n
+
+    total = spread("mean", "variance") if n else 0.0
+    if not total:
+        return CvResult(float("nan"), float("nan"), rounds)
+    errors = [f.squared_error for f in folds]
+    middle = sum(errors) / len(errors)
+    deviation = math.sqrt(sum((e - middle) ** 2 for e in errors) / len(errors))
+    std = deviation / total / math.sqrt(len(folds) - 1) if len(folds) > 1 else None
+    return CvResult(1 - spread("error_mean", "error_variance") / total, std, rounds)
+
+
 def cross_validate(
     problem: Problem, features: Sequence[str], nfold: int, gap: int = 0, back_test: bool = False, refit: bool = True
 ) -> CvResult:
@@ -69,42 +128,70 @@ def cross_validate(
     """
     b, t, target = problem.bounds, problem.time, problem.target
     last = b.train_time - gap if back_test else b.test_time
-    rows = problem.rows
-
-    def fold_task(number: int, start: int):
-        def run() -> tuple[Fitted, DataFrame]:
-            test = time_slice(rows, t, start, start + b.tstep)
-            fitted = fit_trees(time_slice(rows, t, upto=start - gap), features, target, problem.params,
-                               validation=test)
-            forecasts = fitted.predict(test.where(F.col(target).isNotNull()), FORECAST)
-            return fitted, forecasts.select(F.lit(number).alias("fold"), F.col(target).alias(ACTUAL), FORECAST)
-
-        return run
-
-    folds = run_together([fold_task(k, s) for k, s in fold_starts(nfold, b.tstep, last)], problem.parallelism)
-    pooled = reduce(DataFrame.unionByName, [forecasts for _, forecasts in folds]).persist()
-    try:
-        scored = cv_score(pooled).first()
-        spread = cv_score_spread(pooled, nfold).first() if nfold > 1 else {"score_std": None}
-    finally:
-        pooled.unpersist()
-    rounds = max(1, round(sum(f.rounds for f, _ in folds) / len(folds)))
-    result = CvResult(scored["score"], spread["score_std"], rounds)
+    tasks = [lambda s=s: fit_fold(problem, features, s, gap) for _, s in fold_starts(nfold, b.tstep, last)]
+    folds = run_together(tasks, problem.parallelism)
+    result = pooled_score(folds)
     if not refit:
         return result
-    everything = time_slice(rows, t, upto=last).where(F.col(target).isNotNull())
+    rounds = result.rounds
+    everything = time_slice(problem.rows, t, upto=last).where(F.col(target).isNotNull())
     if not back_test:
         known = everything.count()
-        rounds = max(1, int(rounds * known / (known - 0.5 * scored["rows"])))
-    final = fit_trees(everything, features, target, problem.params, rounds=rounds)
+        rounds = max(1, int(rounds * known / (known - 0.5 * sum(f.rows for f in folds))))
+    final = fit_trees(everything, features, target, problem.params, rounds=rounds, matrix=problem.matrix)
     result.rounds, result.importances = rounds, final.importances()
-    result.score_train = variance_of(final, everything, target)
+    result.score_train = variance_of(final, everything, target, problem.matrix)
     if back_test:
-        result.score_test = variance_of(final, time_slice(rows, t, b.train_time, b.test_time), target)
+        result.score_test = variance_of(final, time_slice(problem.rows, t, b.train_time, b.test_time), target, problem.matrix)
     return result
 
 
-def variance_of(fitted: Fitted, rows: DataFrame, target: str) -> float | None:
+def variance_of(fitted: Fitted, rows: DataFrame, target: str, matrix: Matrix | None = None) -> float | None:
     """Variance-form score of a model on one set of rows."""
-    scored = fitted.predict(rows.where(F.col(target).isNotNull()))
+    scored = fitted.predict(rows.where(F.col(target).isNotNull()), matrix=matrix)
     return scored.agg(variance_score(target, FORECAST).alias("score")).first()["score"]
+
+
+class CvScores:
+    """Cross-validation scores of sets of features, each set fitted once.
+
+    A set is known by its sorted names, the gap, the folds and the model settings, whatever drew or asked for it: many lag
+    settings have the same columns, and a selection comes back to sets it has left. Scores that a ledger with a folder
+    holds are not fitted again by a later run either. All folds of all sets asked for together are fitted together.
+    """
+
+    def __init__(self, problem: Problem, nfold: int, gap: int = 0, ledger: Ledger | None = None, params: TreeParams | None = None):
+        self.problem = problem if params is None else replace(problem, params=params)
+        self.nfold, self.gap, self.ledger = nfold, gap, Ledger() if ledger is None else ledger
+
+    def _key(self, features: Sequence[str]) -> dict[str, Any]:
+        b = self.problem.bounds
+        return {"score": sorted(set(features)), "gap": self.gap, "folds": self.nfold, "params": asdict(self.problem.params),
+                "target": self.problem.target, "upto": b.test_time, "tstep": b.tstep}
+
+    def many(self, sets: Sequence[Sequence[str]]) -> list[CvResult]:
+        """Scores of all sets; those not known yet are fitted."""
+        missing = {}
+        for names in sets:
+            key = self._key(names)
+            if self.ledger.get(key) is None:
+                missing.setdefault(tuple(key["score"]), key)
+        b = self.problem.bounds
+        starts = [s for _, s in fold_starts(self.nfold, b.tstep, b.test_time)]
+        waiting = {names: [None] * len(starts) for names in missing}
+        lock = threading.Lock()
+
+        def fit(names: tuple[str, ...], i: int) -> None:
+            found = fit_fold(self.problem, names, starts[i], self.gap)
+            with lock:
+                waiting[names][i] = found
+                whole = all(f is not None for f in waiting[names])
+            if whole:
+                result = pooled_score(waiting[names])
+                self.ledger.put(missing[names], [result.score, result.score_std, result.rounds])
+
+        run_together([lambda n=n, i=i: fit(n, i) for n in missing for i in range(len(starts))], self.problem.parallelism)
+        return [CvResult(*self.ledger.get(self._key(names))) for names in sets]
+
+    def __call__(self, features: Sequence[str]) -> CvResult:
+        return self.many([features])[0]

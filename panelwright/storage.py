@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +15,23 @@ BROADCAST_BYTES = 32 << 20
 # A stored, compressed table takes up to about this many times its size in memory.
 _EXPANSION = 8
 
-#: Folders of tables made inside ``scratch`` blocks, the innermost last; the first list holds all others.
-_OPEN: list[list[str]] = [[]]
+#: Folders of all tables that no ``scratch`` block holds, and of those of the innermost block. A thread sees the block
+#: that it was started in (see ``run_together``), so blocks of different threads do not touch each other's tables.
+_KEPT: list[str] = []
+_OPEN: ContextVar[list[str]] = ContextVar("open-tables", default=_KEPT)
+
+
+def one_machine(master: str) -> bool:
+    """Whether the driver's process runs all tasks itself."""
+    return master == "local" or master.startswith("local[")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, visible to every executor.
 
     The session's ``spark.checkpoint.dir`` decides. Only where it is unset, as in tests, a folder on the session's
-    default file system is used; it is deleted when the session's process ends.
+    default file system is used; it is deleted when the session's process ends. On a cluster that file system must be a
+    shared one: a local folder would be another one on every machine, so it is refused.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -31,6 +40,8 @@ def shared_folder(spark: SparkSession) -> str:
             path = spark._jvm.org.apache.hadoop.fs.Path(f"/tmp/panelwright-{context.applicationId}")
             system = path.getFileSystem(spark._jsc.hadoopConfiguration())
             named = system.makeQualified(path).toString()
+            if not one_machine(context.master) and named.startswith("file:"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             system.mkdirs(path)
             system.deleteOnExit(path)
         context.setCheckpointDir(named)
@@ -40,7 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing uses yet."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    _OPEN[-1].append(path)
+    _OPEN.get().append(path)
     return path
 
 
@@ -53,18 +64,20 @@ def delete(spark: SparkSession, path: str) -> None:
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete every table stored inside the block when it ends; what the block returns must not read them."""
-    _OPEN.append([])
+    mine: list[str] = []
+    outer = _OPEN.set(mine)
     try:
         yield
     finally:
-        for path in _OPEN.pop():
+        _OPEN.reset(outer)
+        for path in mine:
             delete(spark, path)
 
 
 def clear(spark: SparkSession) -> None:
     """Delete all tables stored so far, once no result that reads them is needed any more."""
-    while _OPEN[0]:
-        delete(spark, _OPEN[0].pop())
+    while _KEPT:
+        delete(spark, _KEPT.pop())
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
