@@ -223,3 +223,21 @@ def test_scratch_of_one_thread_leaves_the_tables_of_others(spark):
     assert problem[0].count() == 5  # still there
     with pytest.raises(Exception, match="(?i)exist|not found"):
         made[0].count()
+
+
+def test_one_quantile_of_one_stage_opens_its_own_files(spark):
+    from panelwright.sources.writers import read_forecasts, write_forecasts
+
+    path = new_path(spark, "long")
+    rows = [(s, a, i, float(i)) for s in ("test", "final") for a in ("l2", "0.05", "0.95") for i in range(4)]
+    write_forecasts(spark.createDataFrame(rows, "stage string, alpha string, id int, forecast double"), path)
+    read = read_forecasts(spark, path, "final", "0.95")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    filters = next(part for part in plan.split("PartitionFilters: ")[1:]).split("PushedFilters")[0]
+    assert "stage" in filters and "alpha" in filters and len(read.inputFiles()) >= 1
+    assert sorted(r.id for r in read.collect()) == [0, 1, 2, 3]
+
+
+def test_stopping_and_scaling_decide(spark):
+    found = {(r.stage, r.horizon): (r.best, r.refit) for r in QUERIES["boosting_rounds"](spark, "/root/testdata/sf0.001").collect()}
+    assert found["final", 1] == (2, 2) and found["test", 1] == (3, 3) and found["test", 10] == (3, 4)
