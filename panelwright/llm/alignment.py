@@ -8,12 +8,18 @@ weighted by its copies.
 A task handles its texts in blocks of a bounded number of links. A block keeps its distinct pairs once, in order, and a
 text refers to them by number. The counts of all pairs come back to a block as one row per pair, in a cogroup with its
 texts, so the links themselves are never exploded into rows.
+
+The first tokenizer never merges across the pieces that its own pattern cuts a text into, so every distinct piece is
+encoded once per worker. Texts with characters beyond Latin Extended-B, or odd white space, are encoded whole: there the
+pattern could mean something else to another library.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +32,10 @@ from panelwright.llm.common import text_of
 from panelwright.llm.tokens import in_slices
 from panelwright.storage import materialize
 
+#: Characters whose classes no version of Unicode disputes; any other sends the text to the tokenizer as a whole.
+_SURE = re.compile("[\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u024f]*")
+#: Pieces that a worker remembers with their ids.
+_MOST_PIECES = 400_000
 #: A pair is one number, with the id of the second vocabulary in its lower bits.
 _ID_BITS = 32
 #: Links of one block, besides those of its last slice of texts.
@@ -58,9 +68,13 @@ class Aligner:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
+        from public_tokenizers import PATTERN
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        self.pieces = regex.compile(PATTERN).findall
+        self.known: dict[str, list[int]] = {}
         self.a = Tokenizer.from_file(vocabulary_a)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=vocabulary_b)
@@ -79,9 +93,21 @@ class Aligner:
         written = [f"{i}{end}" for end in ",|" for i in range(size_a)] + [f"{i}{end}" for end in ",;" for i in range(size_b)]
         self.written = np.array(written, object)
 
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of every text by the first tokenizer, special tokens being plain text."""
+        if len(self.known) > _MOST_PIECES:
+            self.known = {}
+        split = [self.pieces(t) if _SURE.fullmatch(t) else None for t in texts]
+        fresh = [p for p in dict.fromkeys(chain.from_iterable(x for x in split if x is not None)) if p not in self.known]
+        whole = [t for t, x in zip(texts, split, strict=True) if x is None]
+        encoded = [x.ids for x in self.a.encode_batch_fast(fresh + whole, add_special_tokens=False)]
+        self.known.update(zip(fresh, encoded, strict=False))
+        rest, find = iter(encoded[len(fresh) :]), self.known.__getitem__
+        return [next(rest) if x is None else list(chain.from_iterable(map(find, x))) for x in split]
+
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of every text by both tokenizers; none for a text whose tokens do not give back its bytes."""
-        found_a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        found_a = self.encode_a([" " + t for t in texts])
         found_b = self.b.encode(texts, num_threads=1) if texts else []
         ids_a, ids_b, none = [], [], np.empty(0, np.int64)
         for text, a, b in zip(texts, found_a, found_b, strict=True):
@@ -114,6 +140,14 @@ class Aligned:
     times: list[np.ndarray]
 
 
+def _found_in(values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of the ascending ``values`` are among the ascending ``others``."""
+    if not len(others):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(others, values), len(others) - 1)
+    return others[at] == values
+
+
 def align(tokens: Aligner, ids_a: list[np.ndarray], ids_b: list[np.ndarray]) -> Aligned:
     """Align all texts at once: laid end to end, texts end where both tokenizers cut, so no link crosses two of them."""
     n = len(ids_a)
@@ -122,9 +156,9 @@ def align(tokens: Aligner, ids_a: list[np.ndarray], ids_b: list[np.ndarray]) ->
     ends_a, ends_b = np.cumsum(tokens.len_a[a]), np.cumsum(tokens.len_b[b])
     text_a = np.repeat(np.arange(n), n_a)
     # A group ends with every token of A whose end is one of B, too.
-    last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+    last_a, last_b = _found_in(ends_a, ends_b), _found_in(ends_b, ends_a)
     n_groups = np.bincount(text_a[last_a], minlength=n)
-    cuts = np.union1d(ends_a, ends_b)
+    cuts = np.sort(np.concatenate([ends_a, ends_b[~last_b]]), kind="stable")
     of_a, of_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
     text_of_link = text_a[of_a]
     n_links = np.bincount(text_of_link, minlength=n)

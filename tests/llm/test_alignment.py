@@ -8,6 +8,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from panelwright.llm import alignment
 from panelwright.llm.alignment import align_documents, aligner, default_vocabularies
@@ -120,6 +122,14 @@ def test_long_texts(text):
     assert found.times[0].sum() == found.n_links[0]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from(" \t\n\r'sdtmlrve09.,!<|>\u00e9\u0130\u00a0\x1c\x85\u2028"), st.characters(codec="utf-8")), max_size=30), max_size=4))
+def test_pieces_give_the_ids_of_whole_texts(texts):
+    tokens = aligner(default_vocabularies())
+    whole = [x.ids for x in tokens.a.encode_batch(texts, add_special_tokens=False)]
+    assert tokens.encode_a(texts) == whole
+
+
 def test_planes_give_the_numbers_back():
     values = np.array([0, 1, 255, 256, 70000, 2**31], np.int64)
     assert alignment._from_planes(alignment._planes(values)).tolist() == values.tolist()
