@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -26,8 +27,8 @@ BLOCKS = frozenset(
 #: Blocks that hold text rather than other blocks; they are not looked at as the place of the article.
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre li dt dd td th tr address figcaption legend summary hr".split())
 DROPPED = frozenset(
-    "script style noscript template iframe object embed svg math canvas audio video map head title meta link base nav "
-    "footer aside button input select textarea option optgroup datalist output progress meter dialog menu".split()
+    "script style noscript template iframe object embed svg canvas audio video map head title meta link base nav "
+    "footer aside button input select textarea option optgroup datalist output progress meter dialog menu annotation".split()
 )
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert status menu menubar form toolbar tablist "
@@ -40,6 +41,12 @@ DROPPED_WORDS = frozenset(
     "recommendations breadcrumb breadcrumbs pagination pager toolbar widget search skip toc topbar announcement "
     "disclaimer".split()
 )
+#: Words that say how a part is laid out and not what it is about: beside one of the words above they change nothing.
+LAYOUT_WORDS = frozenset(
+    "area bar block blocks bottom box boxes btn button buttons center column container content cta desktop fixed float form "
+    "group header icon icons inner item items left link links list lists main mobile outer page panel post posts primary "
+    "right row secondary section site slot sticky strip text title top unit widgets wrap wrapper zone".split()
+)
 COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
 #: Elements that a start tag of the key closes when they are open inside the same container.
 CLOSES = {
@@ -47,10 +54,11 @@ CLOSES = {
     "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"),
 }
 CONTAINERS = frozenset("ul ol dl table select body html div article section main td th".split())
+_STOPS = CONTAINERS - {"body"}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "after")
+    __slots__ = ("tag", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "after", "below")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
@@ -58,11 +66,43 @@ class Node:
 
 
 class _Tree(HTMLParser):
-    """Builds the tree as leniently as browsers do: ends are implied, stray end tags ignored."""
+    """Builds the tree as leniently as browsers do: ends are implied, stray end tags ignored.
+
+    Open elements are counted by tag, and inline ones above the last open block apart from the others, so an end tag
+    that nothing waits for costs nothing, however many elements stay open.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", {}, None)
+        self.open: Counter[str] = Counter()
+        self.inline: list[Counter[str]] = [Counter()]  # tags opened since each open block
+        self.paragraphs = [0]  # open ones since each open container
+
+    def _push(self, node: Node) -> None:
+        self.at = node
+        self.open[node.tag] += 1
+        if node.tag in _STOPS:
+            self.paragraphs.append(0)
+        self.paragraphs[-1] += node.tag == "p"
+        if node.tag in BLOCKS:
+            self.inline.append(Counter())
+        else:
+            self.inline[-1][node.tag] += 1
+
+    def _pop_to(self, parent: Node) -> None:
+        """Close open elements until ``parent`` is the innermost; every element is closed once."""
+        while self.at is not parent:
+            tag = self.at.tag
+            self.open[tag] -= 1
+            self.paragraphs[-1] -= tag == "p"
+            if tag in _STOPS:
+                self.paragraphs.pop()
+            if tag in BLOCKS:
+                self.inline.pop()
+            else:
+                self.inline[-1][tag] -= 1
+            self.at = self.at.parent
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag in ("html", "body") and self.root.attrs.get("_" + tag):
@@ -70,38 +110,38 @@ class _Tree(HTMLParser):
         self.root.attrs["_" + tag] = "1" if tag in ("html", "body") else ""
         if tag == "html":
             return
-        if tag in BLOCKS:
-            self._close(("p",), CONTAINERS - {"body"})
+        if tag in BLOCKS and self.paragraphs[-1]:
+            self._close(("p",), _STOPS)
         if tag in CLOSES:
             self._close(CLOSES[tag], CONTAINERS - set(CLOSES[tag]))
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in VOID:
-            self.at = node
+            self._push(node)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing on elements that are not void
 
     def _close(self, tags: tuple[str, ...], stops) -> None:
         """Close the open elements with these tags up to the nearest container."""
+        waiting = sum(self.open[t] for t in tags)
         node, last = self.at, None
-        while node is not None and node.tag not in stops:
+        while waiting and node is not None and node.tag not in stops:
             if node.tag in tags:
-                last = node
+                last, waiting = node, waiting - 1
             node = node.parent
         if last is not None:
-            self.at = last.parent
+            self._pop_to(last.parent)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("html", "body") or tag in VOID:
             return
+        if not (self.open[tag] if tag in BLOCKS else self.inline[-1][tag]):
+            return  # nothing to end, or only beyond a block, which an inline end tag does not close
         node = self.at
-        while node is not None and node.tag != tag:
-            if tag not in BLOCKS and node.tag in BLOCKS:
-                return  # an inline end tag does not close a block
+        while node.tag != tag:
             node = node.parent
-        if node is not None and node.parent is not None:
-            self.at = node.parent
+        self._pop_to(node.parent)
 
     def handle_data(self, data: str) -> None:
         self.at.children.append(data)
@@ -121,55 +161,100 @@ def parse(html: str) -> Node:
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 
-def _words(node: Node) -> set[str]:
-    named = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}"
-    return {w.lower() for w in _WORDS.findall(named)} | set(re.split(r"[^a-z0-9]+", named.lower()))
+def _names(node: Node) -> list[list[str]]:
+    """Words of every class name and of the id. Headings and text blocks are named for what they say, so their ids do not count."""
+    names = node.attrs.get("class", "").split()
+    if node.tag not in TEXT_BLOCKS:
+        names += node.attrs.get("id", "").split()
+    return [[name.lower()] if name.isupper() else [w.lower() for w in _WORDS.findall(name) if len(w) > 1] for name in names]
 
 
-def _hidden(attrs: dict[str, str]) -> bool:
-    style = attrs.get("style", "").replace(" ", "").lower()
-    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+def _called(node: Node, wanted: frozenset[str]) -> bool:
+    """Whether a name of the element means one of the wanted words.
 
-
-def _holds(node: Node, tags: frozenset[str]) -> bool:
-    stack = [c for c in node.children if isinstance(c, Node)]
-    while stack:
-        c = stack.pop()
-        if c.tag in tags:
+    The other words must tell about the layout, or the wanted one comes last: "social-links" and "global-nav" do,
+    "social-history" and "has-sidebar" do not. Where other words follow, an element without paragraphs and headings counts.
+    """
+    for words in _names(node):
+        if wanted.isdisjoint(words):
+            continue
+        if set(words) <= wanted | DROPPED_WORDS | LAYOUT_WORDS or (words[-1] in wanted and words[0] not in _MODIFIERS):
+            return True
+        if words[0] in wanted and not node.below & _TEXT and node.tag not in TEXT_BLOCKS:
             return True
-        stack += [x for x in c.children if isinstance(x, Node)]
     return False
 
 
-_MAIN = frozenset(("article", "main", "h1"))
+def _hidden(attrs: dict[str, str]) -> bool:
+    style = attrs.get("style", "").replace(" ", "").lower()
+    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+
+
+_ARTICLE = frozenset(("article", "main"))
+_MAIN = _ARTICLE | {"h1"}
+_TEXT = frozenset(("article", "main", "p", "h1", "h2", "h3"))
+_MODIFIERS = frozenset("has no with without is not hide show".split())
+_HEADER_WORDS = frozenset(("header",))
+#: The name of a part of an article, too.
+_SECTION_WORDS = frozenset(("discussion",))
 
 
-def _unwanted(node: Node, inside: bool) -> bool:
-    """Whether an element is never part of an article. ``inside``: it lies in an article or main element."""
+def _unwanted(node: Node) -> bool:
+    """Whether an element is never part of an article, whatever its name."""
     if node.tag in ("body", "article", "main"):
         return False
     if node.tag in DROPPED or _hidden(node.attrs):
         return True
     role = node.attrs.get("role", "").lower()
-    if role in DROPPED_ROLES and (node.tag, role) != ("form", "form"):
-        return True
-    words = _words(node) if "class" in node.attrs or "id" in node.attrs else set()
-    if words & COMMENT_WORDS:
-        return True
-    header = node.tag == "header" or (node.tag != "hgroup" and "header" in words and node.tag in ("div", "section", "table"))
-    if header and not inside and not _holds(node, frozenset(("article", "main"))):
+    return role in DROPPED_ROLES and (node.tag, role) != ("form", "form")
+
+
+def _named_away(node: Node, inside: bool, whole: int) -> bool:
+    """Whether the name of an element says that it is no part of the article. ``inside``: of an article or main element.
+
+    What holds half of the page's text or more, or its article or heading, is never taken for a menu or a sidebar; the
+    text of reader comments does not count for that.
+    """
+    if node.tag in ("body", "article", "main"):
+        return False
+    named = "class" in node.attrs or "id" in node.attrs
+    if named and _called(node, COMMENT_WORDS) and not (inside and _called(node, _SECTION_WORDS)):
+        return True  # readers may well write more than the author
+    if 2 * node.chars >= whole and node.below & _TEXT:
+        return False
+    header = node.tag == "header" or (named and node.tag in ("div", "section", "table") and _called(node, _HEADER_WORDS))
+    if header and not inside and not node.below & _ARTICLE:
         return True
-    # A layout element named after its menu may hold the article.
-    return bool(words & DROPPED_WORDS) and not _holds(node, _MAIN)
+    return named and _called(node, DROPPED_WORDS) and not node.below & _MAIN
+
+
+def _count(nodes: list[Node]) -> None:
+    """Characters of every node, and which of the tags that matter lie below it; ``nodes`` come parents first."""
+    for node in reversed(nodes):
+        node.chars, node.below = 0, frozenset()
+        for c in node.children:
+            if isinstance(c, str):
+                node.chars += len(" ".join(c.split()))
+            else:
+                node.chars += c.chars
+                found = c.below | {c.tag} if c.tag in _TEXT else c.below
+                node.below = node.below | found if found - node.below else node.below
 
 
 def prune(root: Node) -> None:
     """Take unwanted elements out of the tree, and of the forms left those that do not hold the page's text."""
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        node.children = [c for c in node.children if isinstance(c, str) or not _unwanted(c)]
+        stack += [c for c in node.children if isinstance(c, Node)]
+    nodes = _in_order(root)
+    _count(nodes)
     stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
         inside = inside or node.tag in ("article", "main")
-        node.children = [c for c in node.children if isinstance(c, str) or not _unwanted(c, inside)]
+        node.children = [c for c in node.children if isinstance(c, str) or not _named_away(c, inside, root.chars)]
         stack += [(c, inside) for c in node.children if isinstance(c, Node)]
     nodes = _in_order(root)
     if any(n.tag == "form" for n in nodes):
@@ -178,13 +263,12 @@ def prune(root: Node) -> None:
 
 def _prune_forms(nodes: list[Node]) -> None:
     """Drop the forms without an article, main or heading that hold less than half of the text."""
-    for node in reversed(nodes):
-        node.chars = sum(len(" ".join(c.split())) if isinstance(c, str) else c.chars for c in node.children)
+    _count(nodes)
     whole = nodes[0].chars
     for node in nodes:
         node.children = [
             c for c in node.children
-            if isinstance(c, str) or c.tag != "form" or (c.chars and 2 * c.chars >= whole) or _holds(c, _MAIN)
+            if isinstance(c, str) or c.tag != "form" or (c.chars and 2 * c.chars >= whole) or c.below & _MAIN
         ]
 
 
@@ -265,6 +349,8 @@ def _marginal(node: Node) -> bool:
         return False
     if node.link_tags >= 2 and 5 * node.link_chars >= 4 * node.chars:
         return True
+    if node.chars == node.parent.chars and node.parent.tag in BLOCKS - {"body", "html"} and node.parent.after == node.after:
+        return False  # the same text as that of its parent, which was kept
     return node.chars < 200 and node.after < 200 and _IMPRINT.match(_plain_text(node)) is not None
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -291,3 +292,38 @@ def test_word_chunks_of_many_texts_are_those_of_each():
         assert [x[own].tolist() for x in found[1:]] == [x.tolist() for x in chunks.all_chunks([text], 96, 32, 8)[1:]]
         for _, b, e, s, f in zip(*[x[own] for x in found], strict=True):
             assert text[b:e].decode() == text.decode()[s:f] and e > b
+
+
+LONG = "Some words of the article that go on for a while, so that they count. " * 4
+
+
+@pytest.mark.parametrize("part, kept", [
+    ('<h2 id="related-work">Related work</h2>', "Related work"),
+    ('<p id="search-algorithms">Search algorithms find things.</p>', "Search algorithms find things."),
+    ('<section class="social-history"><p>Social history of a town.</p></section>', "Social history of a town."),
+    ('<section id="discussion"><h2>Discussion</h2><p>What it means.</p></section>', "What it means."),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p>", "Let x=2 hold."),
+])
+def test_names_do_not_drop_article_text(part, kept):
+    page = f"<html><body><article><h1>Title</h1><p>{LONG}</p>{part}<p>{LONG}</p></article></body></html>"
+    assert kept in html_text.main_text(page).split("\n")
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "with-ads", "sidebar"])
+def test_the_holder_of_the_text_stays(name):
+    page = f'<body><div class="{name}"><h2>Title</h2><p>{LONG}</p><p>{LONG}</p></div><div class="footer">Imprint of the page</div></body>'
+    got = html_text.main_text(page)
+    assert got.count("\n") >= 1 and got.count(LONG.strip()) == 2 and "Imprint" not in got
+
+
+@pytest.mark.parametrize("name", ["ad", "global-nav", "social-links", "cookieBanner", "related-posts", "ADS", "comments-area", "newsletter-signup"])
+def test_parts_named_as_no_article_go(name):
+    page = f'<body><div><h2>Title</h2><p>{LONG}</p><div class="{name}"><p>Other things to see.</p></div><p>{LONG}</p></div></body>'
+    assert "Other things" not in html_text.main_text(page)
+
+
+@pytest.mark.parametrize("opened, closed", [("<span>", "</i>"), ("<b>", "</p>"), ("<p><b>", "</i>"), ("<div>", "</span>"), ("<span>", "<div>x</div>")])
+def test_pages_with_very_many_open_tags(opened, closed):
+    start = time.time()
+    text = html_text.main_text("<body><p>begin</p>" + opened * 100_000 + "words of it" + closed * 100_000 + "<p>end</p>")
+    assert "words of it" in text and time.time() - start < 30
