@@ -78,6 +78,32 @@ def rank_flags(spark, sf_dir) -> DataFrame:
     return report(spark, place=[1, 2], name=[g[0] for g, _ in ranking.ranked], score=[round(s, 6) for _, s in ranking.ranked])
 
 
+_CHOSEN = "CASE WHEN homepage_left <= emailer_left THEN {0} ELSE {1} END"
+_BOTH = f"""
+SELECT round(1 - var_pop(forecast - y) / var_pop(y), 6) AS score FROM (
+  SELECT ln(f.num_orders + 1) AS y, {_CHOSEN.format("h.mean", "e.mean")} AS forecast FROM foldrows f
+  JOIN (SELECT fold, homepage_featured, avg(ln(num_orders + 1)) AS mean FROM foldrows WHERE role = 'train' GROUP BY ALL) h USING (fold, homepage_featured)
+  JOIN (SELECT fold, emailer_for_promotion, avg(ln(num_orders + 1)) AS mean FROM foldrows WHERE role = 'train' GROUP BY ALL) e USING (fold, emailer_for_promotion)
+  JOIN (SELECT fold, sum(n * v) AS homepage_left FROM (SELECT fold, count(*) AS n, var_pop(ln(num_orders + 1)) AS v FROM foldrows WHERE role = 'train' GROUP BY fold, homepage_featured) GROUP BY fold) USING (fold)
+  JOIN (SELECT fold, sum(n * v) AS emailer_left FROM (SELECT fold, count(*) AS n, var_pop(ln(num_orders + 1)) AS v FROM foldrows WHERE role = 'train' GROUP BY fold, emailer_for_promotion) GROUP BY fold) USING (fold)
+  WHERE role = 'test')"""
+
+
+@query("stump_selection", "foldrows", sql=f"""
+SELECT CASE WHEN both_s <= e THEN 'emailer_for_promotion' WHEN greatest(h, e) > both_s THEN CASE WHEN h >= e THEN 'homepage_featured' ELSE 'emailer_for_promotion' END
+            ELSE 'emailer_for_promotion homepage_featured' END AS chosen,
+       CASE WHEN both_s <= e THEN e ELSE greatest(h, e, both_s) END AS score
+FROM (SELECT ({_cv_sql("homepage_featured")}) AS h, ({_cv_sql("emailer_for_promotion")}) AS e, ({_BOTH}) AS both_s)""")
+def stump_selection(spark, sf_dir) -> DataFrame:
+    """Forward and backward steps over two groups, from one of them.
+
+    A stump on both columns takes the one that leaves less variance in a fold's training part.
+    """
+    scores = validation.CvScores(stump_problem(spark, sf_dir), FOLDS)
+    found = selection.forward_backward(scores, [FLAGS[1]], [[f] for f in FLAGS], [1.0, 2.0], parallelism=2)
+    return report(spark, chosen=[" ".join(sorted(found.features))], score=[round(found.score, 6)])
+
+
 _DRAWN = [t["min_rows"] for t in search.draw_trials({"min_rows": search.Range(*search.MIN_ROWS, whole=True, log=True)}, TRIALS, 1)]
 
 
