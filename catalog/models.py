@@ -18,6 +18,7 @@ from panelwright.operators import joins, samples, scoring, series
 from panelwright.operators.lags import LagSpec
 from panelwright.operators.rows import time_slice
 from panelwright.plans import forecast, frames, models, search, selection, validation
+from panelwright.plans.ledger import Ledger
 from panelwright.sources import fixture, writers
 from panelwright.storage import materialize, new_path
 
@@ -56,7 +57,7 @@ def lag_problem(spark, sf_dir, params=QUICK) -> validation.Problem:
     p = problem(spark, sf_dir, params)
     rows = series.expanding_means_by_state(p.rows, SPEC, p.target, STATS)
     kept = dict.fromkeys([SPEC.id, *KEYS, SPEC.time, SPEC.target, p.target, *START, *KNOWN, *STATS])
-    return replace(p, rows=materialize(rows.select(*kept), "lag-frame"))
+    return replace(p, rows=materialize(rows.select(*kept), "lag-frame"), ledger=Ledger())
 
 
 def all_groups() -> list[list[str]]:

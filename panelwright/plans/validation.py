@@ -6,7 +6,7 @@ import math
 import threading
 from collections.abc import Callable, Sequence
 from contextvars import copy_context
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import asdict, dataclass, field
 from functools import partial
 from multiprocessing.pool import ThreadPool
 from typing import Any
@@ -36,7 +36,8 @@ def run_together(tasks: Sequence[Callable[[], Any]], parallelism: int) -> list[A
 class Problem:
     """What to predict from which rows: ``target`` may be the logarithm of the demand.
 
-    With ``matrix`` the rows hold the features as one vector (``models.stored_matrix``), else as columns.
+    With ``matrix`` the rows hold the features as one vector (``models.stored_matrix``), else as columns. ``ledger`` keeps
+    the scores and finished steps of searches; without one, every search keeps its own.
     """
 
     rows: DataFrame
@@ -46,6 +47,7 @@ class Problem:
     params: TreeParams
     parallelism: int = 4
     matrix: Matrix | None = None
+    ledger: Ledger | None = None
 
 
 @dataclass
@@ -160,9 +162,9 @@ class CvScores:
     holds are not fitted again by a later run either. All folds of all sets asked for together are fitted together.
     """
 
-    def __init__(self, problem: Problem, nfold: int, gap: int = 0, ledger: Ledger | None = None, params: TreeParams | None = None):
-        self.problem = problem if params is None else replace(problem, params=params)
-        self.nfold, self.gap, self.ledger = nfold, gap, Ledger() if ledger is None else ledger
+    def __init__(self, problem: Problem, nfold: int, gap: int = 0):
+        self.problem, self.nfold, self.gap = problem, nfold, gap
+        self.ledger = Ledger() if problem.ledger is None else problem.ledger
 
     def _key(self, features: Sequence[str]) -> dict[str, Any]:
         b = self.problem.bounds

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 import threading
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,7 +69,7 @@ def test_ledger_keeps_values_for_the_next_driver(spark):
 
 def test_scores_are_fitted_once_for_a_set(spark, planted, fits):
     rows, matrix = models.stored_matrix(planted.rows, ["x", "c", "k"], ["t", "log_y"])
-    scores = validation.CvScores(validation.replace(planted, rows=rows, matrix=matrix), 2)
+    scores = validation.CvScores(replace(planted, rows=rows, matrix=matrix), 2)
     one, two, three = scores.many([["x", "c"], ["c", "x", "c"], ["x"]])
     assert one == two and one != three and len(fits) == 4
     assert scores(["c", "x"]) == one and len(fits) == 4
@@ -107,17 +108,17 @@ def test_scoring_ahead_makes_the_same_choices():
 def test_lag_search_goes_on_where_it_stopped(spark, planted, fits):
     first = LagSpec(-1, -3, 0, 0.4, ("log_y",), ("x",))
     root = new_path(spark, "search")
-    whole = search.search_horizons(planted, PANEL, first, (1, 2), ["c"], 2, 4)
+    whole = search.search_horizons(replace(planted, ledger=Ledger()), PANEL, first, (1, 2), ["c"], 2, 4)
     made = len(fits)
     assert [s.horizon for s, _ in whole] == [1, 2] and made > 0
     # A driver is lost after the first horizon; the next one fits only what the second horizon needs.
-    part = search.search_horizons(planted, PANEL, first, (1,), ["c"], 2, 4, ledger=Ledger(spark, root))
+    part = search.search_horizons(replace(planted, ledger=Ledger(spark, root)), PANEL, first, (1,), ["c"], 2, 4)
     assert part == whole[:1]
     before = len(fits)
-    assert search.search_horizons(planted, PANEL, first, (1, 2), ["c"], 2, 4, ledger=Ledger(spark, root)) == whole
+    assert search.search_horizons(replace(planted, ledger=Ledger(spark, root)), PANEL, first, (1, 2), ["c"], 2, 4) == whole
     assert len(fits) - before == made - (before - made) > 0
     after = len(fits)
-    assert search.search_horizons(planted, PANEL, first, (1, 2), ["c"], 2, 4, ledger=Ledger(spark, root)) == whole
+    assert search.search_horizons(replace(planted, ledger=Ledger(spark, root)), PANEL, first, (1, 2), ["c"], 2, 4) == whole
     assert len(fits) == after
 
 
