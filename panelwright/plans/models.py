@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.errors import NumberFormatException
 from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
@@ -121,6 +122,22 @@ def model_path(root: str, stage: str, horizon: int | None, alpha: str) -> str:
     return f"{root}/stage={stage}/horizon={'all' if horizon is None else horizon}/alpha={alpha}"
 
 
+def unraced(step: Callable[[], Any], tries: int = 5) -> Any:
+    """Run a step that launches Spark jobs, again where Spark loses the number of its own execution.
+
+    Spark 4.1 reads the number of the root execution back from the thread's properties and now and then finds none there
+    (``SQLExecution.withNewExecutionId``, "Cannot parse null string") when many executions start at once. The step has done
+    nothing by then.
+    """
+    for _ in range(tries - 1):
+        try:
+            return step()
+        except NumberFormatException as error:
+            if "Cannot parse null string" not in str(error):
+                raise
+    return step()
+
+
 def assemble(rows: DataFrame, features: Sequence[str], out: str = "_features", matrix: Matrix | None = None) -> DataFrame:
     """Put the features into one vector column, or cut them out of the vector that ``matrix`` describes.
 
@@ -159,7 +176,8 @@ def fit_trees(
     rows = train.where(F.col(quoted(target)).isNotNull()).select(*wanted, *([held] if held else []))
     if held:
         learner = learner.setValidationIndicatorCol(held)
-    return Fitted(learner.fit(assemble(rows, features, matrix=matrix)), features)
+    ready = assemble(rows, features, matrix=matrix)
+    return Fitted(unraced(lambda: learner.fit(ready)), features)
 
 
 def r2_by(fitted: Fitted, rows: DataFrame, target: str, part: str, matrix: Matrix | None = None) -> dict[str, float | None]:

@@ -19,17 +19,17 @@ from panelwright.operators.rows import time_slice
 from panelwright.operators.scoring import FORECAST, variance_score
 from panelwright.operators.splits import Bounds, fold_starts, gap_roles
 from panelwright.plans.ledger import Ledger
-from panelwright.plans.models import Fitted, Matrix, TreeParams, fit_trees, r2_by
+from panelwright.plans.models import Fitted, Matrix, TreeParams, fit_trees, r2_by, unraced
 
 
 def run_together(tasks: Sequence[Callable[[], Any]], parallelism: int) -> list[Any]:
     """Run driver-side steps that each launch Spark jobs; their jobs share the executors."""
     if parallelism <= 1 or len(tasks) <= 1:
-        return [task() for task in tasks]
+        return [unraced(task) for task in tasks]
     inherit = inheritable_thread_target(SparkSession.active())
     inside = [partial(copy_context().run, inherit(task)) for task in tasks]  # a thread keeps the scratch block it starts in
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(lambda task: task(), inside, chunksize=1)
+        return pool.map(unraced, inside, chunksize=1)
 
 
 @dataclass(frozen=True)

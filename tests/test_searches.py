@@ -242,3 +242,31 @@ def test_one_quantile_of_one_stage_opens_its_own_files(spark):
 def test_stopping_and_scaling_decide(spark):
     found = {(r.stage, r.horizon): (r.best, r.refit) for r in QUERIES["boosting_rounds"](spark, "/root/testdata/sf0.001").collect()}
     assert found["final", 1] == (2, 2) and found["test", 1] == (3, 3) and found["test", 10] == (3, 4)
+
+
+def test_steps_are_run_again_where_spark_loses_their_number():
+    from pyspark.errors import NumberFormatException
+
+    class Lost(NumberFormatException):
+        def __init__(self, text):
+            self.text = text
+
+        def __str__(self):
+            return self.text
+
+    def step(failures, text):
+        left = [failures]
+
+        def run():
+            if left[0]:
+                left[0] -= 1
+                raise Lost(text)
+            return "done"
+
+        return run
+
+    assert models.unraced(step(3, "Cannot parse null string")) == "done"
+    assert validation.run_together([step(2, "Cannot parse null string")], 1) == ["done"]
+    for failures, text in ((9, "Cannot parse null string"), (1, "another")):
+        with pytest.raises(NumberFormatException):
+            models.unraced(step(failures, text))
