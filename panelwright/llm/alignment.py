@@ -89,6 +89,7 @@ class Aligner:
         ]
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.size_a, self.size_b = size_a, size_b
+        self.numbers = list(range(size_a))
         # How a token is written in the list of groups: ids inside a group, and the last ids of both sides.
         written = [f"{i}{end}" for end in ",|" for i in range(size_a)] + [f"{i}{end}" for end in ",;" for i in range(size_b)]
         self.written = np.array(written, object)
@@ -101,7 +102,8 @@ class Aligner:
         fresh = [p for p in dict.fromkeys(chain.from_iterable(x for x in split if x is not None)) if p not in self.known]
         whole = [t for t, x in zip(texts, split, strict=True) if x is None]
         encoded = [x.ids for x in self.a.encode_batch_fast(fresh + whole, add_special_tokens=False)]
-        self.known.update(zip(fresh, encoded, strict=False))
+        share = self.numbers.__getitem__  # lists of remembered pieces share their numbers
+        self.known.update((p, list(map(share, x))) for p, x in zip(fresh, encoded, strict=False))
         rest, find = iter(encoded[len(fresh) :]), self.known.__getitem__
         return [next(rest) if x is None else list(chain.from_iterable(map(find, x))) for x in split]
 
