@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.errors import NumberFormatException
@@ -21,6 +22,8 @@ from panelwright.storage import materialize, new_path, shared_folder
 
 # Stands for a missing feature value, below any value a feature may take, so that one split isolates it.
 MISSING = -1e300
+#: Bytes of a stored vector's rows that one task of a fit reads.
+TASK_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -95,10 +98,15 @@ def _counts(nodes: DataFrame, features: int) -> list[int]:
 
 @dataclass(frozen=True)
 class Matrix:
-    """Names of the columns of a stored vector, so that fits cut theirs out by position."""
+    """Names of the columns of a stored vector, so that fits cut theirs out by position.
+
+    ``parts`` is how many tasks a pass over all rows is worth: a fit launches some twenty small jobs, and many tasks
+    with few rows each would cost more than they compute.
+    """
 
     places: dict[str, int]
     column: str = "_all"
+    parts: int | None = None
 
     def indices(self, features: Sequence[str]) -> list[int]:
         return [self.places[f] for f in features]
@@ -112,9 +120,12 @@ def stored_matrix(rows: DataFrame, features: Sequence[str], keep: Sequence[str],
     """
     names = list(dict.fromkeys(features))
     matrix = Matrix({name: i for i, name in enumerate(names)})
+    keep = list(dict.fromkeys(keep))
     vector = F.col(matrix.column).alias(matrix.column, metadata={})  # without the names of the parts, which fits would carry along
-    wide = assemble(rows, names, matrix.column).select(*[F.col(quoted(c)) for c in dict.fromkeys(keep)], vector)
-    return materialize(wide, "matrix", partition_by), matrix
+    wide = assemble(rows, names, matrix.column).select(*[F.col(quoted(c)) for c in keep], vector)
+    stored = materialize(wide, "matrix", partition_by)
+    parts = math.ceil(stored.count() * (len(names) + len(keep)) * 8 / TASK_BYTES)
+    return stored, replace(matrix, parts=max(1, parts))
 
 
 def model_path(root: str, stage: str, horizon: int | None, alpha: str) -> str:
@@ -176,6 +187,8 @@ def fit_trees(
     rows = train.where(F.col(quoted(target)).isNotNull()).select(*wanted, *([held] if held else []))
     if held:
         learner = learner.setValidationIndicatorCol(held)
+    if matrix is not None and matrix.parts is not None:
+        rows = rows.coalesce(matrix.parts)
     ready = assemble(rows, features, matrix=matrix)
     return Fitted(unraced(lambda: learner.fit(ready)), features)
 

@@ -91,6 +91,8 @@ def fit_fold(problem: Problem, features: Sequence[str], start: int, gap: int) ->
     t, target = F.col(problem.time), problem.target
     wanted = (t <= start - gap) | ((t > start) & (t <= start + problem.bounds.tstep))
     rows = problem.rows.where(wanted & F.col(target).isNotNull()).withColumn("_held", t > start)
+    if problem.matrix is not None and problem.matrix.parts is not None:
+        rows = rows.coalesce(problem.matrix.parts)
     fitted = fit_trees(rows, features, target, problem.params, held="_held", matrix=problem.matrix)
     scored = fitted.predict(rows.where("_held"), FORECAST, matrix=problem.matrix)
     y, error = F.col(target).cast("double"), F.col(FORECAST) - F.col(target)
