@@ -11,6 +11,7 @@ generator. Only DataFrame and ML pipeline operations are used.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -216,8 +217,8 @@ def _named(kind: str):
     return lambda s: F.struct(F.lit(kind).alias("kind"), *[s[n].alias(n) for n in names])
 
 
-def examples(candidates: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` positive and ``most`` negative labelled spans, those with the smallest hashes.
+def examples(candidates: DataFrame) -> DataFrame:
+    """All labelled spans of the corpus, with a hash ``h`` that deals them out.
 
     Positives are sure spans written the way the generators see them, and account numbers and network addresses that
     are proven by themselves. Negatives are proposals that nothing supports, but for those in the shape of a positive,
@@ -248,37 +249,39 @@ def examples(candidates: DataFrame, most: int) -> DataFrame:
     free = free.filter("label = 0")
     seen = ["kind", "value", "before", "after"]
 
-    def smallest(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("h", F.xxhash64(*seen)).orderBy("h", *seen).limit(most)
-
-    positive = materialize(smallest(sure), "positives")  # at most ``most`` rows
+    positive = materialize(sure.withColumn("h", F.xxhash64(*seen)), "positives")
     shape = F.regexp_replace(F.regexp_replace(value, "[0-9]", "9"), r"[A-Za-z_%+-]+", "a")
     shapes = positive.select("kind", shape.alias("_shape")).distinct()
     broken = F.length(digits_of(value)).between(12, 19) & ~passes_luhn(digits_of(value)) | F.col("kind").isin(*PROVABLE)
     unlike = free.withColumns({"_shape": shape, "_broken": broken}).alias("f")
     same = (F.col("f.kind") == F.col("s.kind")) & (F.col("f._shape") == F.col("s._shape")) & ~F.col("f._broken")
     negative = unlike.join(shapes.alias("s"), same, "left_anti").drop("_shape", "_broken")
-    return positive.unionByName(smallest(negative))
+    return positive.unionByName(negative.withColumn("h", F.xxhash64(*seen)))
 
 
 def learn(
-    candidates: DataFrame, most: int = 4000, rounds: int = 10, depth: int = 4, false_rate: float = 0.002
+    candidates: DataFrame, rounds: int = 10, depth: int = 4, false_rate: float = 0.002
 ) -> tuple[GBTClassificationModel, dict[str, float]] | None:
-    """Fit the trees on three quarters of the examples; thresholds from the held-out quarter.
+    """Fit the trees on three quarters of all examples; thresholds from the held-out quarter.
 
+    Both classes weigh the same, however many examples they have. The trees take as many bins as the examples need for
+    Spark to read all of them, not a sample, when it looks for splits.
     A generator's threshold is the smallest probability, in steps of a hundredth and at least one half, that lets at
     most ``false_rate`` of its held-out negatives pass. None where one of the classes has no example.
     """
     shared_folder(candidates.sparkSession)
-    stored = materialize(examples(candidates, most).select("kind", "label", "h", *[v.alias(k) for k, v in _features().items()]), "examples")
+    stored = materialize(examples(candidates).select("kind", "label", "h", *[v.alias(k) for k, v in _features().items()]), "examples")
     assembled = VectorAssembler(inputCols=NAMES, outputCol="features").transform(stored)
     held = F.pmod(F.shiftright("h", 8), F.lit(4)) == 0
     train = assembled.filter(~held)
-    classes = {r["label"] for r in train.select("label").distinct().collect()}
+    classes = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(classes) < 2:
         return None
-    trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32)
-    model = trees.fit(train.select("features", "label"))
+    total = sum(classes.values())
+    weight = F.when(F.col("label") == 1, total / 2 / classes[1.0]).otherwise(total / 2 / classes[0.0])
+    bins = max(32, math.ceil(math.sqrt(total)))
+    trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, maxBins=bins, weightCol="weight")
+    model = trees.fit(train.select("features", "label", weight.alias("weight")))
     scored = model.transform(assembled.filter(held)).select("kind", "label", vector_to_array("probability")[1].alias("p"))
     step = F.floor(F.col("p") * 100).cast("int").alias("step")
     rows = scored.filter("label = 0").groupBy("kind", step).agg(F.count(F.lit(1)).alias("n")).collect()

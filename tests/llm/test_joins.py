@@ -329,6 +329,18 @@ def test_trees_add_veiled_forms_and_leave_prose_alone(spark):
     assert sum("number:" in got[i] for i, _ in rows if i % 4 == 2) <= 3
 
 
+def test_trees_learn_from_every_example(spark, monkeypatch):
+    rnd = random.Random(6)
+    rows = [(i, f"mail {prose(rnd, 1)}{i}@mail{i % 9}.example.com and room {rnd.randint(10**6, 10**8)}") for i in range(4500)]
+    candidates = materialize(pii.find_candidates(spark.createDataFrame(rows, "doc_id bigint, text string")), "candidates")
+    labels = {r["label"]: r["count"] for r in pii.examples(candidates).groupBy("label").count().collect()}
+    assert labels == {1.0: 3 * 4500, 0.0: 4500}
+    seen, plain = [], pii.GBTClassifier.fit
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df: seen.append((df.count(), self.getMaxBins())) or plain(self, df))
+    model, thresholds = pii.learn(candidates, rounds=2)
+    assert 0.7 * 18000 < seen[0][0] < 0.8 * 18000 and seen[0][1] ** 2 >= seen[0][0] and set(thresholds) == set(pii.PROPOSED)
+
+
 def iban(country, rest):
     number = int("".join(str(int(c, 36)) for c in f"{rest}{country}00"))
     return f"{country}{98 - number % 97:02d}{rest}"
