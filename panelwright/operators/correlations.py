@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,7 +12,12 @@ from pyspark.sql import functions as F
 from panelwright.functions.names import literal, quoted
 from panelwright.operators.ordering import running_totals
 from panelwright.operators.profile import numeric_columns
-from panelwright.storage import materialize
+from panelwright.storage import BroadcastBudget, materialize, stored_bytes
+
+#: (column, value) cells that one task of a rank correlation joins and groups by row, whatever the number of rows.
+TASK_CELLS = 2_000_000
+#: Bytes in memory up to which the ranks of all distinct values are sent to every executor.
+RANK_BYTES = 64 << 20
 
 
 def _pairs(n: int) -> list[tuple[int, int]]:
@@ -106,7 +112,8 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A pair is ranked over the rows where both columns are present. Pairs with the same presence condition share a
     ranking, and one ordering of the distinct values serves all rankings. The ranks of all columns come back to their
-    rows in one join of (column, value) cells and one grouping by row, however many columns there are.
+    rows in one join of (column, value) cells and one grouping by row, however many columns there are. Rows are dealt
+    to as many tasks as their cells are worth, so that the memory of a task does not grow with them.
     """
     columns = list(columns)
     clean = _numbers(df, columns)
@@ -117,9 +124,14 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         clean.withColumn("_row", F.monotonically_increasing_id()).selectExpr("*", *[f"{h} AS holds{i}" for i, h in holds.items()]),
         "numbered-columns",
     )
+    parts = max(math.ceil(clean.count() * len(columns) / TASK_CELLS), int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cells = ", ".join(f"struct({c} AS column, c{c} AS value)" for c in range(len(columns)))
-    values = clean.selectExpr("_row", *[f"holds{i}" for i in holds], f"inline(array({cells}))").where("value IS NOT NULL")
-    counts = values.groupBy("column", "value").agg(*[F.expr(f"count_if(holds{i}) AS n{i}") for i in holds])
+
+    def long(rows: DataFrame) -> DataFrame:
+        return rows.selectExpr("_row", *[f"holds{i}" for i in holds], f"inline(array({cells}))").where("value IS NOT NULL")
+
+    counts = long(clean).groupBy("column", "value").agg(*[F.expr(f"count_if(holds{i}) AS n{i}") for i in holds])
+    counts = materialize(counts, "value-counts")
     running = running_totals(counts, ["column", "value"], {f"upto{i}": f"n{i}" for i in holds})
     starts = running.groupBy("column").agg(
         *[F.expr(f"min(upto{i} - n{i}) AS start{i}") for i in holds], *[F.expr(f"sum(n{i}) AS all{i}") for i in holds]
@@ -127,7 +139,13 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     placed = running.join(F.broadcast(starts), "column")  # starts: one row per column of the matrix
     # Less the middle rank of the column, which keeps the sums of products small.
     centred = [f"upto{i} - start{i} - (n{i} - 1) / 2 - (all{i} + 1) / 2 AS rank{i}" for i in holds]
-    ranked = values.join(placed.selectExpr("column", "value", *centred), ["column", "value"])
+    ranks = placed.selectExpr("column", "value", *centred)
+    known = BroadcastBudget(RANK_BYTES).sized(ranks, stored_bytes(counts))
+    if known is not ranks:
+        # The cells of a row stay together, so the rows are dealt once, before the join.
+        ranked = long(clean.repartition(parts, "_row")).join(known, ["column", "value"])
+    else:
+        ranked = long(clean).repartition(parts, "column", "value").join(ranks, ["column", "value"]).repartition(parts, "_row")
     kept = [
         f"max(CASE WHEN column = {c} AND holds{i} THEN rank{i} END) AS {x}"
         for i, s in enumerate(presence.sets())
